@@ -5,13 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, urlfilter
+from . import mixing, quality, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return quality.apply(docs, rules).select("doc_id", *(f"stats.{x}" for x in quality.BASE), "base_failed", "kept")
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -22,5 +32,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"), labels).select("page_id", "host", "path", "rule", "verdict", "template")
 
 
-QUERIES = {"op9_mix": op9_mix, "op10_url_filter": op10_url_filter}
+QUERIES = {"op1_warc": op1_warc, "op6_quality": op6_quality, "op9_mix": op9_mix, "op10_url_filter": op10_url_filter}
 ORACLES: dict[str, str] = {}
