@@ -83,8 +83,8 @@ def judged(counts: DataFrame, threshold: float = 0.5, strength: float = 10.0, z:
     n = F.col("good") + F.col("bad")
     sums = lambda *by: counts.groupBy(*by).agg(F.sum("good").alias("_g"), F.sum("bad").alias("_b"))
     whole = sums().select(((F.coalesce("_g", F.lit(0)) + 1) / (F.coalesce(F.col("_g") + F.col("_b"), F.lit(0)) + 2)).alias("_prior"))
-    hosts = sums("host").crossJoin(F.broadcast(whole))  # one row
-    hosts = hosts.select("host", ((F.col("_g") + strength * F.col("_prior")) / (F.col("_g") + F.col("_b") + strength)).alias("_host"))
+    prior = whole.first()["_prior"]
+    hosts = sums("host").select("host", ((F.col("_g") + strength * prior) / (F.col("_g") + F.col("_b") + strength)).alias("_host"))
     family = sums("host", "_parent").withColumn("_p", (F.col("_g") + 0.5) / (F.col("_g") + F.col("_b") + 1)).drop("_g", "_b")
     own = counts.join(family, ["host", "_parent"]).join(hosts, "host")
     alike = (n == 0) | (F.abs(F.col("good") / F.greatest(n, F.lit(1)) - F.col("_p")) <= z * F.sqrt(F.col("_p") * (1 - F.col("_p")) / F.greatest(n, F.lit(1))))
