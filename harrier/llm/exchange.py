@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RECORD = np.dtype([("name", "u8"), ("ctx", "u8"), ("rank", "i8"), ("dkey", "i8"), ("a", "i4"), ("m", "u2"), ("f", "u1")])
+RECORD = np.dtype([("name", "u8"), ("ctx", "u4"), ("rank", "i8"), ("dkey", "i8"), ("a", "i4"), ("m", "u2"), ("f", "u1")])
 ANSWER = np.dtype([("dkey", "i8"), ("name", "u8"), ("a", "i4"), ("m", "u2"), ("f", "u1")])
 REPEATED, SEVERAL = 1, 2
 COVERED, DETAIL = 1, 2
@@ -71,7 +71,8 @@ def settle_records(records: np.ndarray, smaller: bool) -> tuple[np.ndarray, np.n
         own, sent = start, first
         mark = np.where(several, SEVERAL, 0) | np.where(covered, REPEATED, 0)
     detail = several & own
-    hit = covered | detail
+    # what was sent as one of several had its answer where it came from
+    hit = (covered | detail) & ((r["f"] & SEVERAL) == 0)
     answers = np.empty(int(hit.sum()), ANSWER)
     for x in ("dkey", "name", "a", "m"):
         answers[x] = r[x][hit]

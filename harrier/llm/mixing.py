@@ -25,6 +25,7 @@ SHARE = 1.5
 MOST = 2
 SEED = 20_240_607
 PARTS = 256
+SALTS = 64
 
 
 def quality_weight(text: Column) -> Column:
@@ -80,7 +81,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         tag.alias("tag"),
     )
     slim = slim.withColumn("_p", 1 - F.col("_p")).withColumn("_x", F.least(F.floor(F.col("_p") * PARTS * PARTS), F.lit(PARTS * PARTS - 1)))
-    slim = settle(slim.withColumn("_b1", F.floor(F.col("_x") / PARTS).cast("int")).withColumn("_b2", (F.col("_x") % PARTS).cast("int")).drop("_x"))
+    slim = settle(slim.withColumn("_b1", F.floor(F.col("_x") / PARTS).cast("int")).withColumn("_b2", (F.col("_x") % PARTS).cast("int")).withColumn("_salt", F.pmod(F.xxhash64("_p"), F.lit(SALTS)).cast("int")).drop("_x"))
 
     sums = slim.groupBy("skey", "_b1").agg(F.sum("size").alias("_s"), F.first("source").alias("source"))
     sizes = sums.groupBy("skey").agg(F.first("source").alias("source"), F.sum("_s").alias("source_size"))
@@ -94,13 +95,17 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         parts = parts.withColumn("_before", start + F.sum("_s").over(order) - F.col("_s"))
         return parts.where((F.col("_before") <= F.col("_rem")) & (F.col("_rem") < F.col("_before") + F.col("_s")))
 
+    def salted(per_source: DataFrame) -> DataFrame:
+        """SALTS copies of a row per source, so that a source's documents need not meet to learn it."""
+        return per_source.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
     first = crossing(sums.drop("source").join(plan.select("skey", "_rem"), "skey"), "_b1", F.lit(0)).select("skey", "_rem", F.col("_b1").alias("_c1"), F.col("_before").alias("_start"))
     first = settle(first)
-    inner = slim.join(first, "skey").where(F.col("_b1") == F.col("_c1"))
+    inner = slim.join(salted(first), ["skey", "_salt"]).where(F.col("_b1") == F.col("_c1"))
     second = inner.groupBy("skey", "_rem", "_c1", "_start", "_b2").agg(F.sum("size").alias("_s"))
     second = settle(crossing(second, "_b2", F.col("_start")).select("skey", "_c1", F.col("_b2").alias("_c2"), F.col("_before").alias("_start")))
 
-    rows = slim.join(plan.drop("source").join(second, "skey", "left"), "skey")
+    rows = slim.join(salted(plan.drop("source").join(second, "skey", "left")), ["skey", "_salt"])
     here, edge = F.struct("_b1", "_b2"), F.struct("_c1", "_c2")
     last = rows.where(F.col("_c1").isNotNull() & (here == edge))
     order = Window.partitionBy("skey").orderBy("_p", "doc_id", "size", "tag").rowsBetween(Window.unboundedPreceding, -1)

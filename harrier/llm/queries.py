@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, quality, urlfilter, warc
+from . import minhash, mixing, quality, recompress, suffix_dedup, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +16,18 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_bytes(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.dedup_words(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
@@ -36,5 +44,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"), labels).select("page_id", "host", "path", "rule", "verdict", "template")
 
 
-QUERIES = {"op1_warc": op1_warc, "op3_minhash": op3_minhash, "op6_quality": op6_quality, "op9_mix": op9_mix, "op10_url_filter": op10_url_filter}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_minhash, op4_recompress, op6_quality, op9_mix, op10_url_filter)}
 ORACLES: dict[str, str] = {}

@@ -169,7 +169,7 @@ def range_records(batch: pa.RecordBatch, window: int = WINDOW, known: WordHashes
         out = np.empty(len(head), RECORD)
         prints = Prefix(names)
         out["name"] = prints.of(low[head], high[head])
-        out["ctx"] = prints.of(head, tail - 1 + window) + mixed((low[head] - head).astype(_U))
+        out["ctx"] = (prints.of(head, tail - 1 + window) + mixed((low[head] - head).astype(_U))) >> _U(32)
         first = np.array([x[1] for x in spots])
         spot = np.searchsorted(first, head, "right") - 1
         row = np.array([x[0] for x in spots])[spot]
@@ -190,7 +190,7 @@ def window_records(batch: pa.RecordBatch, window: int = WINDOW, known: WordHashe
         h = np.fromiter(map(known.__getitem__, words), _U, len(words))
         start = np.unique(np.concatenate([np.arange(a, a + m) for a, m in zip(own["a"].tolist(), own["m"].tolist(), strict=True)]))
         out = np.empty(len(start), RECORD)
-        out["name"], out["ctx"] = Prefix(h).of(start, start + window), Prefix(h, 12345).of(start, start + window)
+        out["name"], out["ctx"] = Prefix(h).of(start, start + window), Prefix(h, 12345).of(start, start + window) >> _U(32)
         out["dkey"], out["rank"], out["a"], out["m"], out["f"] = dkey, rank, start, 1, 0
         yield out
 
