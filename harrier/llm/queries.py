@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, quality, recompress, suffix_dedup, urlfilter, warc
+from . import minhash, mixing, packing, quality, recompress, suffix_dedup, urlfilter, warc
+
+
+def tokenizer_path() -> str:
+    """The place of the vocabulary file, which is not part of this repository."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +41,11 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply(docs, rules).select("doc_id", *(f"stats.{x}" for x in quality.BASE), "base_failed", "kept")
 
 
+def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -44,5 +56,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"), labels).select("page_id", "host", "path", "rule", "verdict", "template")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_minhash, op4_recompress, op6_quality, op9_mix, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_minhash, op4_recompress, op6_quality, op8_pack, op9_mix, op10_url_filter)}
 ORACLES: dict[str, str] = {}
