@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import minhash, mixing, packing, quality, recompress, suffix_dedup, urlfilter, warc
+from . import html_extract, minhash, mixing, packing, quality, recompress, suffix_dedup, urlfilter, warc
 
 
 def tokenizer_path() -> str:
@@ -41,6 +41,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.apply(docs, rules).select("doc_id", *(f"stats.{x}" for x in quality.BASE), "base_failed", "kept")
 
 
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
     return found.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -56,5 +60,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"), labels).select("page_id", "host", "path", "rule", "verdict", "template")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_minhash, op4_recompress, op6_quality, op8_pack, op9_mix, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_minhash, op4_recompress, op6_quality, op7_html, op8_pack, op9_mix, op10_url_filter)}
 ORACLES: dict[str, str] = {}
