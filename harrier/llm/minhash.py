@@ -17,7 +17,7 @@ comparison a member, and no link between components is lost.
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import stars
 from .common import remove, settle, written
 from .components import components
 
@@ -33,8 +34,8 @@ BANDS, ROWS = 30, 3
 T = BANDS * ROWS
 #: Sketches of a pair at similarity 0.75 agree in less than this share with probability 5e-6.
 POSSIBLE = 0.55
-#: Documents compared with one copy of a hub; members of a bucket held by one task.
-STAR, BLOCK = 512, 4096
+#: Members of a bucket held by one task.
+BLOCK = 4096
 _U = np.uint64
 _MULTIPLY = [_U(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(1, SHINGLE + 1)]
 
@@ -124,37 +125,21 @@ def sketched(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(work, f"doc_id {kind}, tkey binary, n_shingles long, node binary, sketch binary, keys array<long>")
 
 
-def verified(edges: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Of (x, hub), those whose full sets link. texts: (node, text), all nodes of the edges among them.
+def link_test(percent: int) -> Callable[[np.ndarray, np.ndarray], bool]:
+    def linked(x: np.ndarray, y: np.ndarray) -> bool:
+        small, large = sorted((len(x), len(y)))
+        if 100 * small < percent * large:
+            return False
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
 
-    The documents of a hub stream past its set, which is all that a task holds; a hub with many
-    documents has a copy for every STAR of them.
-    """
-    sizes = edges.groupBy("hub").agg(F.count("*").alias("_n"))
-    dealt = edges.join(sizes, "hub").select("x", "hub", F.pmod(F.xxhash64("x"), F.ceil(F.col("_n") / STAR)).alias("salt"))
-    rows = dealt.select(F.col("x").alias("node"), "hub", "salt", F.lit(1).alias("role"))
-    rows = rows.unionByName(dealt.select(F.col("hub").alias("node"), "hub", "salt", F.lit(0).alias("role")).distinct())
-    rows = rows.join(texts, "node").repartition("hub", "salt").sortWithinPartitions("hub", "salt", "role", "node").select("node", "hub", "role", "text")
+    return linked
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own, last = WordHashes(), np.empty(0, _U), None
-        for batch in batches:
-            out: list[tuple[bytes, bytes]] = []
-            for node, hub, role, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), _raw(batch.column(3)), strict=True):
-                if role == 0:
-                    if last != hub:
-                        own, last = shingles(raw, known), hub
-                    continue
-                items = shingles(raw, known)
-                small, large = sorted((len(items), len(own)))
-                if 100 * small < percent * large:
-                    continue
-                both = len(np.intersect1d(items, own, assume_unique=True))
-                if 100 * both >= percent * (len(items) + len(own) - both):
-                    out.append((node, hub))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], ["a", "b"])
 
-    return rows.mapInArrow(work, "a binary, b binary").distinct()
+def verified(edges: DataFrame, texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Of (x, hub), those whose full sets link. texts: (node, item), all nodes of the edges among them."""
+    known = WordHashes()
+    return stars.verified(edges, texts, lambda raw: shingles(raw, known), link_test(percent))
 
 
 def _labelled(nodes: DataFrame, label: DataFrame, on: str, name: str) -> DataFrame:
@@ -229,7 +214,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     needed = found.select(F.col("x").alias("node")).unionByName(buckets.select(F.col("hub").alias("node"))).distinct()
     needed = needed.join(nodes.select("node", "doc_id", "tkey"), "node").select("node", "tkey", F.col("doc_id").alias("_id"))
     keyed = docs.withColumn("tkey", F.unhex(F.md5(F.encode("text", "UTF-8"))))
-    texts = keyed.join(needed, (keyed["tkey"] == needed["tkey"]) & keyed["doc_id"].eqNullSafe(needed["_id"])).select("node", "text")
+    texts = keyed.join(needed, (keyed["tkey"] == needed["tkey"]) & keyed["doc_id"].eqNullSafe(needed["_id"])).select("node", F.encode("text", "UTF-8").alias("item"))
     texts, texts_path = written(texts, "texts")
     _free(spark)
 

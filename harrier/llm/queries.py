@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, minhash, mixing, packing, quality, recompress, suffix_dedup, urlfilter, warc
+from . import html_extract, media, media_fixture, minhash, mixing, packing, quality, recompress, suffix_dedup, urlfilter, warc
 
 
 def tokenizer_path() -> str:
@@ -35,6 +35,11 @@ def op4_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompress.dedup_words(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables hold no media: every vector of `embeddings` is rendered, some with an edited copy."""
+    return media.image_copies(media_fixture.images(table(spark, sf_dir, "embeddings")))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
@@ -60,5 +65,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.filter_urls(table(spark, sf_dir, "pages"), labels).select("page_id", "host", "path", "rule", "verdict", "template")
 
 
-QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_minhash, op4_recompress, op6_quality, op7_html, op8_pack, op9_mix, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_minhash, op4_recompress, op5_media, op6_quality, op7_html, op8_pack, op9_mix, op10_url_filter)}
 ORACLES: dict[str, str] = {}
