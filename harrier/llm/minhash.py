@@ -22,11 +22,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import stars
-from .common import remove, settle, written
+from .common import fresh, remove, settle, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 75
@@ -101,9 +101,13 @@ def _raw(column: pa.Array) -> list:
     return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
 
 
+def text_key(text: str) -> Column:
+    return F.unhex(F.md5(F.coalesce(F.encode(F.col(f"`{text}`"), "UTF-8"), F.lit(b""))))
+
+
 def sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (doc_id, tkey, n_shingles, node, sketch, keys); node is a digest of the set, null if empty."""
-    source = docs.select("doc_id", F.unhex(F.md5(F.encode("text", "UTF-8"))).alias("tkey"), "text")
+    """(doc_id, text) -> (doc_id, tkey, n_shingles, node, sketch, keys); tkey is a digest of the text, node one of the set, null if empty."""
+    source = docs.select("doc_id", text_key("text").alias("tkey"), "text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -149,7 +153,7 @@ def _labelled(nodes: DataFrame, label: DataFrame, on: str, name: str) -> DataFra
 
 def residual(buckets: DataFrame, label: DataFrame, sketches: DataFrame, turn: int, t: int = T) -> DataFrame:
     """Pairs (x, hub) that share a bucket and no component and may be similar: for each x and other
-    component in a bucket, the partners ranked [2 ** turn - 1, 2 ** (turn + 1) - 1) by sketch agreement.
+    component in a bucket, the partners of the next ranks by sketch agreement: 16 in turn 0, 16 times as many in each turn.
 
     Only members outside a bucket's largest component are queries; queries and members are dealt
     in blocks, so a task holds BLOCK sketches of each at most.
@@ -164,7 +168,7 @@ def residual(buckets: DataFrame, label: DataFrame, sketches: DataFrame, turn: in
     every = F.sequence(F.lit(0), F.col("_blocks") - 1)
     asks = rows.where(F.col("label") != F.col("_main")).select("key", "node", "label", "sketch", F.lit(1).alias("ask"), F.col("_own").alias("bx"), F.explode(every).alias("by"))
     gives = rows.select("key", "node", "label", "sketch", F.lit(0).alias("ask"), F.explode(every).alias("bx"), F.col("_own").alias("by"))
-    low, high = 2**turn - 1, 2 ** (turn + 1) - 1
+    low, high = 0 if not turn else 16**turn, 16 ** (turn + 1)
 
     def work(group: pa.Table) -> pa.Table:
         node, label_, ask = (np.array(group.column(c).to_pylist(), object) for c in ("node", "label", "ask"))
@@ -189,7 +193,7 @@ def residual(buckets: DataFrame, label: DataFrame, sketches: DataFrame, turn: in
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), a row per row of docs.
+    """(doc_id, n_shingles, component_id, kept, tkey, node), a row per row of docs; tkey is a digest of its text, node of its set.
 
     Null, empty and blank texts have no shingles and stand alone. Texts of under 5 words are one shingle.
     Rows that repeat an id or a text are rows of their own; equal sets are linked. Null ids are allowed:
@@ -198,7 +202,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     spark = docs.sparkSession
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     first, first_path = written(sketched(docs), "sketches")
-    slim = settle(first.select("doc_id", "n_shingles", "node"))
+    slim = settle(first.select("doc_id", "n_shingles", "node", "tkey"))
     whole = first.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("doc_id", "tkey")).alias("_rep"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
     nodes, nodes_path = written(whole.select("node", "_rep.doc_id", "_rep.tkey", "sketch", "keys"), "nodes")
     remove(spark, first_path)
@@ -213,7 +217,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
 
     needed = found.select(F.col("x").alias("node")).unionByName(buckets.select(F.col("hub").alias("node"))).distinct()
     needed = needed.join(nodes.select("node", "doc_id", "tkey"), "node").select("node", "tkey", F.col("doc_id").alias("_id"))
-    keyed = docs.withColumn("tkey", F.unhex(F.md5(F.encode("text", "UTF-8"))))
+    keyed = docs.withColumn("tkey", text_key("text"))
     texts = keyed.join(needed, (keyed["tkey"] == needed["tkey"]) & keyed["doc_id"].eqNullSafe(needed["_id"])).select("node", F.encode("text", "UTF-8").alias("item"))
     texts, texts_path = written(texts, "texts")
     _free(spark)
@@ -242,7 +246,24 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     _free(spark)
     out = slim.join(least, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tkey", "node")
+
+
+def deduplicated(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, with their own columns, of which one row of each component stays: that of the
+    smallest id, and of rows that tie on it one of the smallest text digest. Texts without shingles all stay.
+    """
+    found = near_duplicates(docs, percent, id_col, text_col)
+    alone = found.where("node is null").select("doc_id", "tkey", F.lit(False).alias("single"))
+    best = found.where("node is not null and kept").groupBy("component_id").agg(F.min("tkey").alias("tkey"))
+    best = best.select(F.col("component_id").alias("doc_id"), "tkey", F.lit(True).alias("single"))
+    stay = best.unionByName(alone.distinct())
+    tkey, key, single = (fresh(x, docs.columns) for x in ("tkey", "row_key", "single"))
+    stay = stay.select(F.xxhash64(F.col("doc_id").isNull(), "doc_id", "tkey").alias(key), F.col("single").alias(single)).distinct()
+    own = F.col(f"`{id_col}`")
+    out = docs.withColumn(tkey, text_key(text_col)).withColumn(key, F.xxhash64(own.isNull(), own, F.col(tkey))).join(stay, key)
+    out = out.withColumn(tkey, F.row_number().over(Window.partitionBy(key).orderBy(key)))
+    return out.where(~F.col(single) | (F.col(tkey) == 1)).select(*(F.col(f"`{x}`") for x in docs.columns))
 
 
 def _free(spark) -> None:

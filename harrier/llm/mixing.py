@@ -129,18 +129,15 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     digest = F.xxhash64(F.lit(7), F.col(f"`{text}`"), F.col(f"`{source}`"), F.col(f"`{options.get('id_col', 'doc_id')}`"))
     plan = mix(docs, tag=digest, **options)
     copies = F.col("epochs") + (F.col("part") > 0).cast("long")
-    # rows alike in the tag draw alike, so all of them but the crossing ones have the same plan
-    plan = plan.groupBy("tag").agg(F.sort_array(F.collect_list(F.struct(copies.alias("copies"), "part", "size")), asc=False).alias(own))
-    plan = plan.withColumnRenamed("tag", key)
-    out = docs.withColumn(key, digest)
+    # rows alike in the tag draw alike; only where the budget ends among them do their plans differ, so a tag has three at most
+    plan = plan.groupBy("tag", copies.alias("copies"), "part", "size").agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("tag").orderBy(F.col("copies").desc(), F.col("part").desc()))
+    plan = plan.withColumn("upto", upto).groupBy("tag").agg(F.sort_array(F.collect_list(F.struct("upto", "copies", "part", "size"))).alias(own))
+    out = docs.withColumn(key, digest).join(plan.withColumnRenamed("tag", key), key)
     names = list(docs.columns)
-    first = F.element_at(F.col(own), 1)
-    out = out.join(plan, key)
-    same = F.size(F.array_distinct(F.col(own))) == 1
-    # repeated rows across the budget: each takes the next plan of its tag
-
-    plain = out.where(same).withColumn(one, first)
-    mixed = out.where(~same).withColumn(one, F.element_at(F.col(own), F.row_number().over(Window.partitionBy(key).orderBy(key))))
+    plain = out.where(F.size(own) == 1).withColumn(one, F.element_at(own, 1))
+    turn = F.row_number().over(Window.partitionBy(key).orderBy(key))
+    mixed = out.where(F.size(own) > 1).withColumn(one, turn).withColumn(one, F.element_at(F.filter(F.col(own), lambda x: x["upto"] >= F.col(one)), 1))
     out = plain.unionByName(mixed)
     out = out.withColumn(own, F.explode(F.when(F.col(f"{one}.copies") > 0, F.sequence(F.lit(1).cast("long"), F.col(f"{one}.copies")))))
     cut = (F.col(own) == F.col(f"{one}.copies")) & (F.col(f"{one}.part") > 0) & (F.col(f"{one}.part") < F.col(f"{one}.size"))

@@ -28,7 +28,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return minhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op4_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, written
+from .common import fresh, remove, written
 from .exchange import ANSWER, COVERED, DETAIL, RECORD, decide, keyed, mask, pack, raws, unpack
 from .minhash import mixed
 from .recompress import Prefix, joined
@@ -249,7 +249,7 @@ def repeated_ranges(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     """(dkey, answers) of keyed documents: the windows that also start elsewhere."""
     first, _ = written(decide(rows.select("dkey", "rank", "text"), lambda batch: range_records(batch, width), False), "ranges")
     # a row of its own text is enough for copies: their windows are all covered
-    found, _ = written(contexts(rows.select("dkey", "text").join(first, "dkey"), width), "contexts")
+    found, path = written(contexts(rows.select("dkey", "text").join(first, "dkey"), width), "contexts")
     counts = found.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") > MOST_RANGES).select("name", F.lit(True).alias("hot"))
     hot, _ = written(counts, "hot")
     n, out = found.count(), first
@@ -259,6 +259,7 @@ def repeated_ranges(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     if n:
         twice, _ = written(sorted_ranges(found, n, width), "sorted")
         out = out.unionByName(twice)
+    remove(rows.sparkSession, path)
     return out
 
 
