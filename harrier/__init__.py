@@ -1 +1 @@
-"""Harrier: detections in imagery as Spark DataFrames."""
+"""Oriented-box detections in imagery as Spark DataFrames: read, tile, detect, decode, suppress, merge, count, export."""

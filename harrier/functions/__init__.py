@@ -1 +1 @@
-"""Harrier: detections in imagery as Spark DataFrames."""
+"""Column functions: geometry, rounding and labels, all from Spark built-ins."""

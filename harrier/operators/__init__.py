@@ -1 +1 @@
-"""Harrier: detections in imagery as Spark DataFrames."""
+"""Relational operators on images, tiles and detections."""

@@ -1 +1 @@
-"""Harrier: detections in imagery as Spark DataFrames."""
+"""Whole jobs made of the operators."""

@@ -1 +1 @@
-"""Harrier: detections in imagery as Spark DataFrames."""
+"""Readers of images and of the label dimension."""
