@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import html_extract, media, media_fixture, minhash, mixing, packing, quality, recompress, suffix_dedup, urlfilter, warc
+from .oracles import ORACLES  # noqa: F401
 
 
 def tokenizer_path() -> str:
@@ -66,4 +67,3 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_warc, op2_suffix_dedup, op3_minhash, op4_recompress, op5_media, op6_quality, op7_html, op8_pack, op9_mix, op10_url_filter)}
-ORACLES: dict[str, str] = {}
