@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 
 from ..config import DEFAULT, Config
 from ..schema import RAW_OUTPUT
+from .tiling import tile_plan
 
 #: (batch, 3, size, size) float32 in 0..1 -> (batch, slots, 7) float32.
 Detector = Callable[[np.ndarray], np.ndarray]
@@ -20,7 +21,7 @@ def model_input(image: np.ndarray, sx: int, sy: int, sw: int, sh: int, scale: fl
 
     What lies outside the image stays grey. Centres of pixels map to centres; which filter a browser uses isn't defined.
     """
-    out = np.full((size, size, 3), float(grey))
+    out = np.full((size, size, 3), grey, np.float32)
     new_w, new_h = int(round(size - 2 * pad_x)), int(round(size - 2 * pad_y))
     left, top = int(np.floor(pad_x)), int(np.floor(pad_y))
     ys, xs = (np.arange(new_h) + 0.5) / scale - 0.5 + sy, (np.arange(new_w) + 0.5) / scale - 0.5 + sx
@@ -28,40 +29,44 @@ def model_input(image: np.ndarray, sx: int, sy: int, sw: int, sh: int, scale: fl
     ys, xs = np.clip(ys[in_y], 0, image.shape[0] - 1), np.clip(xs[in_x], 0, image.shape[1] - 1)
     y0, x0 = np.floor(ys).astype(int), np.floor(xs).astype(int)
     y1, x1 = np.minimum(y0 + 1, image.shape[0] - 1), np.minimum(x0 + 1, image.shape[1] - 1)
-    fy, fx = (ys - y0)[:, None, None], (xs - x0)[None, :, None]
-    pixels = image.astype(np.float64)
+    fy, fx = (ys - y0).astype(np.float32)[:, None, None], (xs - x0).astype(np.float32)[None, :, None]
+    pixels = image.astype(np.float32)
     value = (pixels[y0][:, x0] * (1 - fx) + pixels[y0][:, x1] * fx) * (1 - fy) + (pixels[y1][:, x0] * (1 - fx) + pixels[y1][:, x1] * fx) * fy
     rows, columns = np.flatnonzero(in_y) + top, np.flatnonzero(in_x) + left
     out[rows[:, None], columns[None, :]] = np.rint(value)
     return (out / 255).astype(np.float32).transpose(2, 0, 1)
 
 
-def detect(images: DataFrame, tiles: DataFrame, make: Callable[[], Detector], batch: int = 8, config: Config = DEFAULT) -> DataFrame:
-    """(image_id, tile_idx, data) of every tile. `make` builds the detector once per worker task.
+TILE = pa.schema([("image_id", pa.int64()), ("tile_idx", pa.int32()), ("sx", pa.int32()), ("sy", pa.int32()), ("sw", pa.int32()), ("sh", pa.int32()), ("scale", pa.float64()), ("pad_x", pa.float64()), ("pad_y", pa.float64()), ("sliced", pa.bool_()), ("data", pa.list_(pa.float32()))])
 
-    An image's pixels go to its tiles through a join by image, and a tile's input lives only in its
-    worker, `batch` at a time.
+
+def detect(images: DataFrame, make: Callable[[], Detector], batch: int = 8, config: Config = DEFAULT) -> DataFrame:
+    """The tiles of every image that could be read, each with the detector's raw output in `data`.
+
+    `make` builds the detector once per worker task. An image's pixels stay where they were read: its tiles are cut in
+    the worker, `batch` at a time, so nothing is shuffled or copied per tile.
     """
-    keep = ["image_id", "tile_idx", "sx", "sy", "sw", "sh", "scale", "pad_x", "pad_y", "width", "height", "channels", "pixels"]
-    rows = tiles.join(images.where("pixels is not null").select("image_id", "width", "height", "channels", "pixels"), "image_id").select(*keep)
+    rows = images.where("pixels is not null and width is not null and height is not null")
+    rows = rows.select("image_id", "width", "height", "channels", "pixels", tile_plan(config).alias("tiles"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run, held = make(), []
 
         def flush() -> pa.RecordBatch:
-            found = np.asarray(run(np.stack([x for _, _, x in held])), np.float32)
-            out = pa.RecordBatch.from_arrays([pa.array([i for i, _, _ in held], pa.int64()), pa.array([t for _, t, _ in held], pa.int32()), pa.array([x.ravel() for x in found], pa.list_(pa.float32()))], ["image_id", "tile_idx", "data"])
+            found = np.asarray(run(np.stack([x for _, x in held])), np.float32)
+            out = pa.RecordBatch.from_pylist([tile | {"data": x.ravel()} for (tile, _), x in zip(held, found, strict=True)], schema=TILE)
             held.clear()
             return out
 
         for part in batches:
-            columns = {x: part.column(x) for x in keep}
             for i in range(part.num_rows):
-                row = {x: columns[x][i].as_py() for x in keep}
-                image = np.frombuffer(row["pixels"], np.uint8).reshape(row["height"], row["width"], row["channels"])
-                held.append((row["image_id"], row["tile_idx"], model_input(image, *(row[x] for x in ("sx", "sy", "sw", "sh", "scale", "pad_x", "pad_y")), config.input_size, config.pad_grey)))
-                if len(held) >= batch:
-                    yield flush()
+                image_id, width, height, channels = (part.column(k)[i].as_py() for k in range(4))
+                image = np.frombuffer(part.column(4)[i].as_buffer(), np.uint8).reshape(height, width, channels)
+                for tile in part.column(5)[i].as_py():
+                    own = model_input(image, *(tile[x] for x in ("sx", "sy", "sw", "sh", "scale", "pad_x", "pad_y")), config.input_size, config.pad_grey)
+                    held.append((tile | {"image_id": image_id}, own))
+                    if len(held) >= batch:
+                        yield flush()
         if held:
             yield flush()
 

@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config
@@ -33,18 +33,19 @@ def kept_boxes(x0: np.ndarray, y0: np.ndarray, side: np.ndarray, most: float) ->
     return alive
 
 
-def nms(detections: DataFrame, iou: float = DEFAULT.nms_iou, min_confidence: float | None = None, config: Config = DEFAULT, group: tuple[str, ...] = ("image_id", "class_id"), with_rank: bool = True) -> DataFrame:
+def nms(detections: DataFrame, iou: float = DEFAULT.nms_iou, min_confidence: float | None = None, config: Config = DEFAULT, group: tuple[str, ...] = ("image_id", "class_id"), with_rank: bool = True, only: Column | None = None) -> DataFrame:
     """The survivors, with `rank` by falling confidence and rising seq within the image.
 
     A suppressed box suppresses nothing, so this is an ordered fold, not an anti-join: an expression for most
     groups, a vectorised worker for groups over config.large_group. One group must fit a task: it is the boxes of
-    one class on one image. min_confidence filters first, which gives the same as filtering after.
+    one class on one image. min_confidence filters first, which gives the same as filtering after. Rows for which
+    `only` is false pass, and suppress nothing.
     """
     if min_confidence is not None:
         detections = threshold(detections, min_confidence)
     x0, y0, x1, _ = square(*BOX)
     # by falling confidence; a NaN compares with nothing, so it stands last
-    item = F.struct((-F.nanvl(F.col("confidence"), F.lit(float("-inf")))).alias("_by"), F.col("seq"), x0.alias("_x"), y0.alias("_y"), (x1 - x0).alias("_side"), F.struct(*detections.columns).alias("_row"))
+    item = F.struct((-F.nanvl(F.col("confidence"), F.lit(float("-inf")))).alias("_by"), F.col("seq"), x0.alias("_x"), y0.alias("_y"), (x1 - x0).alias("_side"), (F.lit(True) if only is None else only).alias("_on"), F.struct(*detections.columns).alias("_row"))
     groups = detections.groupBy(*group).agg(F.sort_array(F.collect_list(item)).alias("_items"))
     few = groups.where(F.size("_items") <= config.large_group)
     many = groups.where(F.size("_items") > config.large_group)
@@ -55,7 +56,7 @@ def nms(detections: DataFrame, iou: float = DEFAULT.nms_iou, min_confidence: flo
     kept = F.aggregate(
         "_items",
         F.filter("_items", lambda x: F.lit(False)),
-        lambda out, x: F.when(F.exists(out, lambda k: overlap(of(k), of(x)) > F.lit(float(iou))), out).otherwise(F.concat(out, F.array(x))),
+        lambda out, x: F.when(x["_on"] & F.exists(out, lambda k: k["_on"] & (overlap(of(k), of(x)) > F.lit(float(iou)))), out).otherwise(F.concat(out, F.array(x))),
     )
     rows = few.select(F.inline(kept)).select("_row.*")
 
@@ -65,7 +66,9 @@ def nms(detections: DataFrame, iou: float = DEFAULT.nms_iou, min_confidence: flo
         for batch in batches:
             for items in batch.column("_items"):
                 own = items.values
-                keep = kept_boxes(*(own.field(x).to_numpy(zero_copy_only=False) for x in ("_x", "_y", "_side")), iou)
+                x, y, side, on = (own.field(k).to_numpy(zero_copy_only=False) for k in ("_x", "_y", "_side", "_on"))
+                keep = ~on
+                keep[on] = kept_boxes(x[on], y[on], side[on], iou)
                 row = own.field("_row").filter(pa.array(keep))
                 yield pa.RecordBatch.from_arrays(row.flatten(), names=shape.names)
 

@@ -21,8 +21,8 @@ def letterbox(sw: Column, sh: Column, config: Config = DEFAULT) -> tuple[Column,
     return scale, new[0].cast("int"), new[1].cast("int"), (size - new[0]) / 2, (size - new[1]) / 2
 
 
-def tile_grid(images: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """(image_id, width, height, ...) -> a row per tile, numbered row by row.
+def tile_plan(config: Config = DEFAULT) -> Column:
+    """The tiles of a row with width and height, row by row, as an array of structs.
 
     Images within the single-pass limit on both sides are one tile. The others are cut into squares of the
     model's size whose last row and column are shifted back inside; on a side shorter than the square
@@ -30,16 +30,23 @@ def tile_grid(images: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """
     size = config.input_size
     stride = int(size * (1 - config.tile_overlap) + 0.5)
-    count = lambda side: F.greatest(F.lit(1), F.ceil((F.col(side) - size) / stride) + 1).cast("int")
-    spots = lambda side: F.transform(F.sequence(F.lit(0), count(side) - 1), lambda i: F.least(i * stride, F.col(side) - size).cast("int"))
     single = is_single_pass(config)
-    start = lambda side: F.when(single, F.array(F.lit(0))).otherwise(spots(side))
-    out = images.select("image_id", "width", "height", F.posexplode(start("height")).alias("_row", "sy"))
-    out = out.select("*", F.size(start("width")).alias("_columns"), F.posexplode(start("width")).alias("_column", "sx"))
-    side = lambda name, at: F.when(single, F.col(name)).otherwise(F.least(F.lit(size), F.col(name) - F.col(at))).cast("int")
-    out = out.withColumn("sw", side("width", "sx")).withColumn("sh", side("height", "sy"))
-    scale, _, _, pad_x, pad_y = letterbox(F.col("sw"), F.col("sh"), config)
-    return out.select("image_id", (F.col("_row") * F.col("_columns") + F.col("_column")).cast("int").alias("tile_idx"), "sx", "sy", "sw", "sh", scale.alias("scale"), pad_x.alias("pad_x"), pad_y.alias("pad_y"), (~single).alias("sliced"))
+    count = lambda side: F.greatest(F.lit(1), F.ceil((F.col(side) - size) / stride) + 1).cast("int")
+    spots = lambda side: F.when(single, F.array(F.lit(0))).otherwise(F.transform(F.sequence(F.lit(0), count(side) - 1), lambda i: F.least(i * stride, F.col(side) - size).cast("int")))
+
+    def tile(x: Column, y: Column, index: Column) -> Column:
+        side = lambda name, at: F.when(single, F.col(name)).otherwise(F.least(F.lit(size), F.col(name) - at)).cast("int")
+        sw, sh = side("width", x), side("height", y)
+        scale, _, _, pad_x, pad_y = letterbox(sw, sh, config)
+        return F.struct(index.cast("int").alias("tile_idx"), x.alias("sx"), y.alias("sy"), sw.alias("sw"), sh.alias("sh"), scale.alias("scale"), pad_x.alias("pad_x"), pad_y.alias("pad_y"), (~single).alias("sliced"))
+
+    across = spots("width")
+    return F.flatten(F.transform(spots("height"), lambda y, r: F.transform(across, lambda x, c: tile(x, y, r * F.size(across) + c))))
+
+
+def tile_grid(images: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """(image_id, width, height, ...) -> a row per tile."""
+    return images.select("image_id", F.inline(tile_plan(config)))
 
 
 def to_image(detections: DataFrame) -> DataFrame:

@@ -11,24 +11,20 @@ from ..config import DEFAULT, Config
 from ..operators.decode import decode
 from ..operators.detect import Detector, detect
 from ..operators.suppress import nms
-from ..operators.tiling import tile_grid, to_image
+from ..operators.tiling import to_image
 
 
-def detections_of(raw: DataFrame, tiles: DataFrame, config: Config = DEFAULT) -> DataFrame:
-    """Raw output and its tiles to detections. Only images cut into several tiles are suppressed.
+def detections_of(raw: DataFrame, config: Config = DEFAULT) -> DataFrame:
+    """Tiles with raw output to detections. Only images cut into several tiles are suppressed.
 
     `seq` counts an image's detections by tile and slot; those without a whole class id are suppressed by class name.
     """
-    found = to_image(decode(raw, config).join(tiles, ["image_id", "tile_idx"]))
     order = Window.partitionBy("image_id").orderBy("tile_idx", "slot")
-    found = found.withColumn("seq", (F.row_number().over(order) - 1).cast("long"))
-    columns = ["image_id", "seq", "class_id", "class_name", "confidence", "cx", "cy", "width", "height", "angle", "sliced"]
-    found = found.select(*columns)
-    cut = nms(found.where("sliced"), config.nms_iou, config=config, group=("image_id", "class_name"), with_rank=False)
-    return found.where("not sliced").unionByName(cut).drop("sliced")
+    found = to_image(decode(raw, config)).withColumn("seq", (F.row_number().over(order) - 1).cast("long"))
+    found = found.select("image_id", "seq", "class_id", "class_name", "confidence", "cx", "cy", "width", "height", "angle", "sliced")
+    return nms(found, config.nms_iou, config=config, group=("image_id", "class_name"), with_rank=False, only=F.col("sliced")).drop("sliced")
 
 
 def run(images: DataFrame, make: Callable[[], Detector], config: Config = DEFAULT, batch: int = 8) -> DataFrame:
     """Images table to detections: plan tiles, detect, decode, map back, suppress."""
-    tiles = tile_grid(images.where("width is not null and height is not null"), config)
-    return detections_of(detect(images, tiles, make, batch, config), tiles, config)
+    return detections_of(detect(images, make, batch, config), config)
