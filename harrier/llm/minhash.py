@@ -31,9 +31,10 @@ from .components import components
 
 SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 30, 3
-T = BANDS * ROWS
-#: Sketches of a pair at similarity 0.75 agree in less than this share with probability 5e-6.
-POSSIBLE = 0.55
+#: The bands take the first BANDS * ROWS coordinates; the estimate takes all.
+T = 256
+#: Sketches of a pair at similarity 0.75 agree in less than this share of T with probability 3e-5.
+POSSIBLE = 0.64
 #: Members of a bucket held by one task.
 BLOCK = 4096
 _U = np.uint64
@@ -90,7 +91,7 @@ def sketch(items: np.ndarray, t: int = T) -> np.ndarray:
 
 
 def band_keys(s: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    parts = s.reshape(bands, rows)
+    parts = s[: bands * rows].reshape(bands, rows)
     out = np.arange(bands, dtype=_U)
     for i in range(rows):
         out = mixed(out * _U(0x9E3779B97F4A7C15) ^ parts[:, i])
@@ -119,8 +120,8 @@ def sketched(docs: DataFrame) -> DataFrame:
                 if len(items):
                     s = sketch(items)
                     node.append(xxhash.xxh3_128_digest(items.tobytes()))
-                    short.append(s.astype(np.uint16).tobytes())
                     keys.append(band_keys(s))
+                    short.append(keys[-1].astype(np.uint32).tobytes() + s.astype(np.uint8).tobytes())
                 else:
                     node.append(None), short.append(None), keys.append(None)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(short, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "tkey", "n_shingles", "node", "sketch", "keys"])
@@ -151,14 +152,15 @@ def _labelled(nodes: DataFrame, label: DataFrame, on: str, name: str) -> DataFra
     return got.withColumn(name, F.coalesce(name, on))
 
 
-def residual(buckets: DataFrame, label: DataFrame, sketches: DataFrame, turn: int, t: int = T) -> DataFrame:
-    """Pairs (x, hub) that share a bucket and no component and may be similar: for each x and other
-    component in a bucket, the partners of the next ranks by sketch agreement: 16 in turn 0, 16 times as many in each turn.
+def residual(buckets: DataFrame, label: DataFrame, sketches: DataFrame, turn: int) -> DataFrame:
+    """Pairs (x, hub) that share a bucket and no component and may be similar. For each x and other
+    component in a bucket: in turn 0 the partner of most agreement, in later turns the best 16, 256, ...; a
+    null row says that there are more.
 
     Only members outside a bucket's largest component are queries; queries and members are dealt
-    in blocks, so a task holds BLOCK sketches of each at most.
+    in blocks, so a task holds BLOCK sketches of each at most. Of the buckets that a pair shares, the first gives it.
     """
-    rows = _labelled(buckets.select("key", "node"), label, "node", "label")
+    rows = _labelled(buckets.select("key", "band", "node"), label, "node", "label")
     per = rows.groupBy("key", "label").agg(F.count("*").alias("_c"))
     per = per.groupBy("key").agg(F.count("*").alias("_labels"), F.sum("_c").alias("_n"), F.max(F.struct("_c", "label")).alias("_top"))
     per = per.where("_labels > 1 and _n > 2").select("key", "_n", F.col("_top.label").alias("_main"))
@@ -166,13 +168,15 @@ def residual(buckets: DataFrame, label: DataFrame, sketches: DataFrame, turn: in
     blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
     rows = rows.withColumn("_blocks", blocks).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     every = F.sequence(F.lit(0), F.col("_blocks") - 1)
-    asks = rows.where(F.col("label") != F.col("_main")).select("key", "node", "label", "sketch", F.lit(1).alias("ask"), F.col("_own").alias("bx"), F.explode(every).alias("by"))
-    gives = rows.select("key", "node", "label", "sketch", F.lit(0).alias("ask"), F.explode(every).alias("bx"), F.col("_own").alias("by"))
-    low, high = 0 if not turn else 16**turn, 16 ** (turn + 1)
+    asks = rows.where(F.col("label") != F.col("_main")).select("key", "band", "node", "label", "sketch", F.lit(1).alias("ask"), F.col("_own").alias("bx"), F.explode(every).alias("by"))
+    gives = rows.select("key", "band", "node", "label", "sketch", F.lit(0).alias("ask"), F.explode(every).alias("bx"), F.col("_own").alias("by"))
+    most = 16**turn
 
     def work(group: pa.Table) -> pa.Table:
         node, label_, ask = (np.array(group.column(c).to_pylist(), object) for c in ("node", "label", "ask"))
-        s = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint16).reshape(len(node), t)
+        raw = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+        keys, s = np.ascontiguousarray(raw[:, : 4 * BANDS]).view(np.uint32), raw[:, 4 * BANDS :]
+        band = group.column("band")[0].as_py()
         give = np.flatnonzero(ask == 0)
         out: list[tuple[bytes, bytes]] = []
         for i in np.flatnonzero(ask == 1):
@@ -182,11 +186,11 @@ def residual(buckets: DataFrame, label: DataFrame, sketches: DataFrame, turn: in
                 k = give[j]
                 if near[j] < POSSIBLE:
                     break
-                if label_[k] == label_[i]:
+                if label_[k] == label_[i] or int(np.argmax(keys[k] == keys[i])) != band:
                     continue
                 rank = taken[label_[k]] = taken.get(label_[k], -1) + 1
-                if low <= rank < high:
-                    out.append((node[i], node[k]) if node[i] > node[k] else (node[k], node[i]))
+                if rank <= most:
+                    out.append((None, None) if rank == most else (node[i], node[k]) if node[i] > node[k] else (node[k], node[i]))
         return pa.table([pa.array([x[i] for x in out], pa.binary()) for i in (0, 1)], ["x", "hub"])
 
     return asks.unionByName(gives).groupBy("key", "bx", "by").applyInArrow(work, "x binary, hub binary").distinct()
@@ -207,7 +211,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     nodes, nodes_path = written(whole.select("node", "_rep.doc_id", "_rep.tkey", "sketch", "keys"), "nodes")
     remove(spark, first_path)
 
-    bands = nodes.select("node", F.explode("keys").alias("key"))
+    bands = nodes.select("node", F.posexplode("keys").alias("band", "key"))
     hubs = bands.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
     buckets, buckets_path = written(bands.join(hubs, "key"), "buckets")
     # a node is in BANDS buckets at most, so this list is short
@@ -231,13 +235,18 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     _free(spark)
     tried, turn = found.select("x", F.explode("hubs").alias("hub")).select(F.greatest("x", "hub").alias("x"), F.least("x", "hub").alias("hub")), 0
     while True:
-        pairs = settle(residual(buckets, label, nodes.select("node", "sketch"), turn))
-        if pairs.isEmpty():
+        found = settle(residual(buckets, label, nodes.select("node", "sketch"), turn))
+        pairs = settle(found.where("x is not null").join(tried, ["x", "hub"], "left_anti"))
+        if not pairs.isEmpty():
+            more = settle(verified(pairs, texts, percent))
+            tried = settle(tried.unionByName(pairs))
+            if not more.isEmpty():
+                links = settle(links.unionByName(more))
+                label = settle(components(links))
+        turn += 1
+        if found.where("x is null").isEmpty():
             break
-        more = settle(verified(pairs.join(tried, ["x", "hub"], "left_anti"), texts, percent))
-        tried, links, turn = settle(tried.unionByName(pairs)), settle(links.unionByName(more)), turn + 1
-        if not more.isEmpty():
-            label = settle(components(links))
+        _free(spark)
 
     least = _labelled(nodes.select("node", "doc_id"), label, "node", "label")
     least = settle(least.join(least.groupBy("label").agg(F.min("doc_id").alias("component_id")), "label").select("node", "component_id"))
