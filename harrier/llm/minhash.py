@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     first, first_path = written(sketched(docs), "sketches")
     slim = settle(first.select("doc_id", "n_shingles", "node", "tkey"))
-    whole = first.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct("doc_id", "tkey")).alias("_rep"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
+    whole = first.where(F.col("node").isNotNull()).groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "tkey")).alias("_rep"), F.first("sketch").alias("sketch"), F.first("keys").alias("keys"))
     nodes, nodes_path = written(whole.select("node", "_rep.doc_id", "_rep.tkey", "sketch", "keys"), "nodes")
     remove(spark, first_path)
 
