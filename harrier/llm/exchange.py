@@ -103,7 +103,7 @@ def decide(docs: DataFrame, extract: Callable[[pa.RecordBatch], Iterator[np.ndar
     extract gives the records of a batch of rows, piece by piece. A task holds BLOCK records, or
     the records of its share of the names.
     """
-    parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
