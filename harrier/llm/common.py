@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,10 +51,19 @@ def _sweep() -> None:
             return
 
 
+def free(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and checkpoints that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage: a reliable checkpoint in the shared folder, removed once nothing refers to it."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    del df
+    free(out.sparkSession)
+    return out
 
 
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:

@@ -16,7 +16,6 @@ comparison a member, and no link between components is lost.
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -26,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import stars
-from .common import fresh, remove, settle, written
+from .common import free, fresh, remove, settle, written
 from .components import components
 
 SHINGLE, PERCENT = 5, 75
@@ -196,6 +195,11 @@ def residual(buckets: DataFrame, label: DataFrame, sketches: DataFrame, turn: in
     return asks.unionByName(gives).groupBy("key", "bx", "by").applyInArrow(work, "x binary, hub binary").distinct()
 
 
+def _added(rows: DataFrame, more: DataFrame) -> DataFrame:
+    """Both, settled in no more partitions than a shuffle makes, so that rounds don't pile up small files."""
+    return settle(rows.unionByName(more).coalesce(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept, tkey, node), a row per row of docs; tkey is a digest of its text, node of its set.
 
@@ -224,35 +228,35 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     keyed = docs.withColumn("tkey", text_key("text"))
     texts = keyed.join(needed, (keyed["tkey"] == needed["tkey"]) & keyed["doc_id"].eqNullSafe(needed["_id"])).select("node", F.encode("text", "UTF-8").alias("item"))
     texts, texts_path = written(texts, "texts")
-    _free(spark)
+    free(spark)
 
     links = settle(verified(found.select("x", "hub"), texts, percent))
     label = settle(components(links))
     others = found.select("x", F.explode("hubs").alias("hub"), F.col("hub").alias("_done")).where("hub <> _done").drop("_done")
     others = _labelled(_labelled(others, label, "x", "_lx"), label, "hub", "_lh").where("_lx <> _lh").select("x", "hub")
-    links = settle(links.unionByName(verified(settle(others), texts, percent)))
+    links = _added(links, verified(settle(others), texts, percent))
     label = settle(components(links))
-    _free(spark)
+    free(spark)
     tried, turn = found.select("x", F.explode("hubs").alias("hub")).select(F.greatest("x", "hub").alias("x"), F.least("x", "hub").alias("hub")), 0
     while True:
         found = settle(residual(buckets, label, nodes.select("node", "sketch"), turn))
         pairs = settle(found.where("x is not null").join(tried, ["x", "hub"], "left_anti"))
         if not pairs.isEmpty():
             more = settle(verified(pairs, texts, percent))
-            tried = settle(tried.unionByName(pairs))
+            tried = _added(tried, pairs)
             if not more.isEmpty():
-                links = settle(links.unionByName(more))
+                links = _added(links, more)
                 label = settle(components(links))
         turn += 1
         if found.where("x is null").isEmpty():
             break
-        _free(spark)
+        free(spark)
 
     least = _labelled(nodes.select("node", "doc_id"), label, "node", "label")
     least = settle(least.join(least.groupBy("label").agg(F.min("doc_id").alias("component_id")), "label").select("node", "component_id"))
     for path in (nodes_path, buckets_path, texts_path):
         remove(spark, path)
-    _free(spark)
+    free(spark)
     out = slim.join(least, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tkey", "node")
@@ -274,8 +278,3 @@ def deduplicated(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id"
     out = out.withColumn(tkey, F.row_number().over(Window.partitionBy(key).orderBy(key)))
     return out.where(~F.col(single) | (F.col(tkey) == 1)).select(*(F.col(f"`{x}`") for x in docs.columns))
 
-
-def _free(spark) -> None:
-    """Let Spark delete the shuffle files and checkpoints that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
