@@ -18,11 +18,12 @@ from pyspark.sql import functions as F
 
 from .common import remove, settle, written
 from .components import components
+from .minhash import mixed
 from .stars import verified
 
 SCALES = (1.0, 1.4142, 2.0)
-FEATURES, BITS, TABLES, RADIUS = 48, 256, 8, 12
-MIN_SHARED, MOST_DISTANCE, TOLERANCE, MIN_AGREE = 3, 48, 3.0, 8
+FEATURES, BITS, TABLES, RADIUS = 33, 256, 4, 12
+MIN_SHARED, MOST_DISTANCE, TOLERANCE, MIN_AGREE = 2, 48, 3.0, 7
 FEATURE = np.dtype([("x", "f4"), ("y", "f4"), ("scale", "f4"), ("angle", "f4"), ("bits", "u8", (BITS // 64,))])
 
 
@@ -98,9 +99,9 @@ def features(image: np.ndarray, most: int = FEATURES) -> np.ndarray:
 
 
 def keys(own: np.ndarray) -> np.ndarray:
-    """The distinct table keys of an image's descriptors: the table in the upper half, its bits in the lower."""
-    parts = np.ascontiguousarray(own["bits"]).view(np.uint32).reshape(len(own), TABLES).astype(np.int64)
-    return np.unique(parts + (np.arange(TABLES, dtype=np.int64) << 32))
+    """The distinct table keys of an image's descriptors: 64 bits each, told apart by table."""
+    parts = np.ascontiguousarray(own["bits"]).view(np.uint64).reshape(len(own), TABLES)
+    return np.unique(mixed(parts + np.arange(TABLES, dtype=np.uint64))).view(np.int64)
 
 
 def same_image(x: np.ndarray, y: np.ndarray) -> bool:
@@ -131,18 +132,31 @@ def grey(data: bytes, width: int, height: int, channels: int) -> np.ndarray | No
 
 
 def described(images: DataFrame) -> DataFrame:
-    """(node, data, width, height, channels) -> (node, n_features, item, keys)."""
+    """(image_id, node, data, width, height, channels) -> (image_id, node, n_features, item)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, item, own_keys = [], [], []
-            for data, *shape in zip(*(batch.column(i).to_pylist() for i in range(1, 5)), strict=True):
+            n, item = [], []
+            for data, *shape in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
                 image = grey(data, *shape)
                 own = features(image) if image is not None else np.empty(0, FEATURE)
-                n.append(len(own)), item.append(own.tobytes()), own_keys.append(keys(own) if len(own) else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(item, pa.binary()), pa.array(own_keys, pa.list_(pa.int64()))], ["node", "n_features", "item", "keys"])
+                n.append(len(own)), item.append(own.tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(item, pa.binary())], ["image_id", "node", "n_features", "item"])
 
-    return images.select("node", "data", "width", "height", "channels").mapInArrow(work, "node binary, n_features long, item binary, keys array<long>")
+    kind = images.schema["image_id"].dataType.simpleString()
+    return images.select("image_id", "node", "data", "width", "height", "channels").mapInArrow(work, f"image_id {kind}, node binary, n_features long, item binary")
+
+
+def table_keys(nodes: DataFrame) -> DataFrame:
+    """(node, item) -> (node, key), a row per distinct key."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [keys(np.frombuffer(x, FEATURE)) for x in batch.column(1).to_pylist()]
+            at = np.repeat(np.arange(len(own)), [len(x) for x in own])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(np.concatenate([np.empty(0, np.int64), *own]))], ["node", "key"])
+
+    return nodes.select("node", "item").mapInArrow(work, "node binary, key long")
 
 
 def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
@@ -155,13 +169,15 @@ def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
     rows = images.select(F.col(f"`{id_col}`").alias("image_id"), "data", "width", "height", "channels")
     digest = F.unhex(F.md5(F.concat(F.coalesce("data", F.lit(b"")), F.concat_ws(",", F.col("data").isNull().cast("string"), *(F.col(x).cast("string") for x in ("width", "height", "channels"))).cast("binary"))))
     rows = rows.withColumn("node", digest)
-    slim = settle(rows.select("image_id", "node"))
-    once = rows.groupBy("node").agg(F.min("image_id").alias("image_id"), *(F.first(x).alias(x) for x in ("data", "width", "height", "channels")))
-    nodes, path = written(described(once), "images")
+    # pixels stay where they are read; only features move
+    every, every_path = written(described(rows), "features")
+    slim = settle(every.select("image_id", "node", "n_features"))
+    nodes, path = written(every.groupBy("node").agg(F.first("item").alias("item")), "images")
+    remove(images.sparkSession, every_path)
 
-    bands = nodes.select("node", F.explode("keys").alias("key"))
+    bands = table_keys(nodes)
     many = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets, buckets_path = written(bands.join(many, "key"), "buckets")
+    buckets, buckets_path = written(bands.join(settle(many), "key"), "buckets")
     items = nodes.select("node", "item")
     load = lambda raw: np.frombuffer(raw, FEATURE)
     links, label, tried, turn = None, None, None, 0
@@ -189,7 +205,7 @@ def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
     least = slim.groupBy("node").agg(F.min("image_id").alias("image_id"))
     least = least.withColumn("label", F.col("node")) if label is None else least.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = least.join(least.groupBy("label").agg(F.min("image_id").alias("component_id")), "label").select("node", "component_id")
-    least = settle(least.join(nodes.select("node", "n_features"), "node"))
+    least = settle(least)
     for p in (path, buckets_path):
         remove(images.sparkSession, p)
     out = slim.join(least, "node")
