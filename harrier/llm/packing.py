@@ -31,11 +31,25 @@ SENTENCE, ANYWHERE = 1.0, 3.0
 #: Tokens that one program arranges, and that a task holds.
 BLOCK = 1 << 20
 #: Without an end of a sentence for so long, any word may end a sequence.
-STRIDE = 16
-MOST_WORDS = 400_000
+STRIDE = 24
+#: Words that a worker process remembers, about 200 MB.
+MOST_WORDS = 1_200_000
 ENDS = (".", "!", "?", "。", "！", "？", "…", '."', ".”", ".)", '?"', '!"')
 
 
+class _Places(dict):
+    """Places of words in order of first use; `new` lists those that have no tokens yet."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = out = len(self)
+        self.new.append(word)
+        return out
+
+
 class Tokens:
     """Token ids of texts, word by word with memory: no token reaches over white space in a tokenizer that drops it."""
 
@@ -44,39 +58,67 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        #: A token of its own that may stand between words, so that many are encoded at once.
+        self.between = min(((k, v.content) for k, v in self.tokenizer.get_added_tokens_decoder().items() if v.special), default=None)
         self._clear()
 
     def _clear(self) -> None:
-        self.place: dict[bytes, int] = {}
+        self.place = _Places()
         self.flat, self.start, self.ends = array("I"), array("q", [0]), bytearray()
 
+    def _coded(self, words: list[str]) -> list[np.ndarray]:
+        if self.between is None:
+            return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        code, text = self.between
+        odd = [i for i, w in enumerate(words) if "<" in w or text in w]  # may hold such a token, or a part of one
+        plain = ["" if "<" in w or text in w else w for w in words]
+        ids = np.array(self.tokenizer.encode(text.join(plain), add_special_tokens=False).ids, np.uint32)
+        cut = np.flatnonzero(ids == code)
+        out = np.split(ids, cut)
+        out = [out[0], *(x[1:] for x in out[1:])]
+        for i, x in zip(odd, self.tokenizer.encode_batch([words[i] for i in odd], add_special_tokens=False), strict=True):
+            out[i] = np.array(x.ids, np.uint32)
+        return out
+
     def encode(self, texts: list[bytes | None]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Of each text: its ids and END, the places after each word, and whether a sentence ends there."""
-        split = [(x or b"").split() for x in texts]
         if len(self.place) > MOST_WORDS:
             self._clear()
-        new = list({w for words in split for w in words if w not in self.place})
+        places = []
+        for x in texts:
+            words = (x or b"").split()
+            places.append(np.fromiter(map(self.place.__getitem__, words), np.int64, len(words)))
+        new = self.place.new
         for a in range(0, len(new), 4096):
             own = [w.decode("utf-8", "replace") for w in new[a : a + 4096]]
-            for word, raw, coded in zip(own, new[a : a + 4096], self.tokenizer.encode_batch(own, add_special_tokens=False), strict=True):
-                self.place[raw] = len(self.ends)
-                self.flat.extend(coded.ids)
-                self.start.append(len(self.flat))
-                self.ends.append(word.endswith(ENDS))
-        flat, start, ends = np.frombuffer(self.flat, np.uint32) if len(self.flat) else np.empty(0, np.uint32), np.frombuffer(self.start, np.int64), np.frombuffer(self.ends, np.uint8)
+            coded = self._coded(own)
+            self.flat.frombytes(np.concatenate(coded).tobytes())
+            self.start.frombytes((self.start[-1] + np.cumsum([len(x) for x in coded])).tobytes())
+            self.ends.extend(w.endswith(ENDS) for w in own)
+        new.clear()
+        flat, start, ends = np.frombuffer(self.flat, np.uint32) if len(self.flat) else np.empty(0, np.uint32), np.frombuffer(self.start, np.int64), np.frombuffer(self.ends, np.bool_)
         out = []
-        for words in split:
-            at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        for at in places:
             size = start[at + 1] - start[at]
             after = np.cumsum(size)
             n = int(after[-1]) if len(after) else 0
             ids = np.full(n + 1, END, np.uint32)
             ids[:n] = flat[np.arange(n) + np.repeat(start[at] - (after - size), size)]
-            out.append((ids, after, ends[at].astype(bool)))
+            out.append((ids, after, ends[at]))
         del flat, start, ends  # arrays that are looked at can't grow
         return out
 
 
+_LOADED: dict[str, Tokens] = {}
+
+
+def tokens_of(path: str) -> Tokens:
+    """One for a worker process, which serves many tasks."""
+    if path not in _LOADED:
+        _LOADED[path] = Tokens(path)
+    return _LOADED[path]
+
+
 def candidates(docs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], length: int = LENGTH) -> tuple[np.ndarray, np.ndarray]:
     """Where the line of these documents may be cut, rising, from 0 to its end, and the penalties."""
     total = sum(len(x[0]) for x in docs)
@@ -88,10 +130,9 @@ def candidates(docs: list[tuple[np.ndarray, np.ndarray, np.ndarray]], length: in
         cost[base] = 0
     known = np.flatnonzero(np.isfinite(cost))
     known = np.unique(np.concatenate([[0], known, [total]]))
-    gaps = np.flatnonzero(np.diff(known) > STRIDE)
-    for i in gaps.tolist():
-        fill = np.arange(known[i] + STRIDE, known[i + 1], STRIDE)
-        cost[fill] = np.minimum(cost[fill], ANYWHERE)
+    more = np.maximum((np.diff(known) - 1) // STRIDE, 0)
+    fill = np.repeat(known[:-1] - (np.cumsum(more) - more) * STRIDE, more) + (np.arange(more.sum()) + 1) * STRIDE
+    cost[fill] = ANYWHERE
     rest = np.arange(max(0, total - length), total)
     cost[rest] = np.minimum(cost[rest], ANYWHERE)
     cost[0] = cost[total] = 0
@@ -162,7 +203,7 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, id_col: str = "d
     types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, base = Tokens(tokenizer), TaskContext.get().partitionId() << 33
+        tokens, base = tokens_of(tokenizer), TaskContext.get().partitionId() << 33
         own: list = []
         held: list = []
         size = 0
