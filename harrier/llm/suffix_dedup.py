@@ -74,7 +74,7 @@ def range_records(batch: pa.RecordBatch, width: int = WIDTH, k: int = K) -> Iter
         # neighbours in different documents never share a run: the windows across an end are not ok
         rows = np.empty(len(head), RECORD)
         rows["name"] = order[place[head]]
-        rows["ctx"] = [xxhash.xxh3_64_intdigest(text[a : b - 1 + width], seed=s) & 0xFFFFFFFF for a, b, s in zip(head.tolist(), tail.tolist(), (place[head] - head).tolist(), strict=True)]
+        rows["ctx"] = [xxhash.xxh3_64_intdigest(text[a : b - 1 + width], seed=s) for a, b, s in zip(head.tolist(), tail.tolist(), (place[head] - head).tolist(), strict=True)]
         first = np.array([x[1] for x in spots])
         spot = np.searchsorted(first, head, "right") - 1
         row = np.array([x[0] for x in spots])[spot]
@@ -238,7 +238,7 @@ def single_windows(found: DataFrame, width: int = WIDTH) -> DataFrame:
             codes = _BYTES[np.frombuffer(piece, np.uint8)]
             start = np.arange(m)
             out = np.empty(m, RECORD)
-            out["name"], out["ctx"] = Prefix(codes).of(start, start + width), Prefix(codes, 12345).of(start, start + width) >> _U(32)
+            out["name"], out["ctx"] = Prefix(codes).of(start, start + width), Prefix(codes, 12345).of(start, start + width)
             out["dkey"], out["rank"], out["a"], out["m"], out["f"] = dkey, 0, a + start, 1, 0
             yield out
 
