@@ -201,7 +201,8 @@ def _added(rows: DataFrame, more: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept, tkey, node), a row per row of docs; tkey is a digest of its text, node of its set.
+    """(doc_id, n_shingles, component_id, kept, tkey, node, label), a row per row of docs; tkey is a digest of its text, node of its set,
+    label the component's smallest node.
 
     Null, empty and blank texts have no shingles and stand alone. Texts of under 5 words are one shingle.
     Rows that repeat an id or a text are rows of their own; equal sets are linked. Null ids are allowed:
@@ -253,13 +254,13 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
         free(spark)
 
     least = _labelled(nodes.select("node", "doc_id"), label, "node", "label")
-    least = settle(least.join(least.groupBy("label").agg(F.min("doc_id").alias("component_id")), "label").select("node", "component_id"))
+    least = settle(least.join(least.groupBy("label").agg(F.min("doc_id").alias("component_id")), "label").select("node", "label", "component_id"))
     for path in (nodes_path, buckets_path, texts_path):
         remove(spark, path)
     free(spark)
     out = slim.join(least, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tkey", "node")
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "tkey", "node", "label")
 
 
 def deduplicated(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -268,8 +269,9 @@ def deduplicated(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id"
     """
     found = near_duplicates(docs, percent, id_col, text_col)
     alone = found.where("node is null").select("doc_id", "tkey", F.lit(False).alias("single"))
-    best = found.where("node is not null and kept").groupBy("component_id").agg(F.min("tkey").alias("tkey"))
-    best = best.select(F.col("component_id").alias("doc_id"), "tkey", F.lit(True).alias("single"))
+    # by the component itself: its id may be null, or that of another component too
+    best = found.where("node is not null and kept").groupBy("label").agg(F.first("doc_id").alias("doc_id"), F.min("tkey").alias("tkey"))
+    best = best.select("doc_id", "tkey", F.lit(True).alias("single"))
     stay = best.unionByName(alone.distinct())
     tkey, key, single = (fresh(x, docs.columns) for x in ("tkey", "row_key", "single"))
     stay = stay.select(F.xxhash64(F.col("doc_id").isNull(), "doc_id", "tkey").alias(key), F.col("single").alias(single)).distinct()

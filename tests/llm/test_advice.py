@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from harrier.llm import exchange, recompress, suffix_dedup
+from harrier.llm import exchange, minhash, recompress, suffix_dedup
 
 
 @pytest.mark.parametrize("records", [suffix_dedup.range_records, recompress.range_records])
@@ -25,3 +25,10 @@ def test_contexts_that_agree_in_32_bits_are_different(low):
         answers, _ = exchange.settle_records(rows, smaller)
         assert not (answers["f"] & exchange.COVERED).any()
         assert (answers["f"] & exchange.DETAIL).all()
+
+
+def test_components_without_an_id_of_their_own_stay(spark):
+    texts = ["one two three four five six", "seven eight nine ten eleven twelve", "red green blue black white grey", "north south east west up down"]
+    rows = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (None, texts[0]), (7, texts[2]), (8, texts[3])]
+    got = minhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for i, t in rows[:4])
