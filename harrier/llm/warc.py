@@ -27,7 +27,6 @@ from .common import scratch
 ROTATE_BYTES = 64 << 20
 SPLIT_BYTES = 64 << 20
 WINDOW = 1 << 20
-MOST_HEAD = 1 << 16
 MIN_REVISIT_BYTES = 0
 GZIP, PLAIN = b"\x1f\x8b\x08", b"WARC/1."
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -81,12 +80,18 @@ class _Source:
 
 def _parse(read, start: int) -> tuple[dict[str, str], int, int]:
     """Headers, block start and length of the record at `start`; raises Damaged."""
-    head = read(start, 4096)
-    if b"\r\n\r\n" not in head:
-        head = read(start, MOST_HEAD)
-    end = head.find(b"\r\n\r\n")
-    if not re.match(rb"WARC/1\.\d\r\n", head) or end < 0:
-        raise Damaged("no version line and headers")
+    n, seen = 4096, 0
+    while True:
+        head = read(start, n)
+        end = head.find(b"\r\n\r\n", max(0, seen - 3))
+        if not re.match(rb"WARC/1\.\d\r\n", head) or (end < 0 and len(head) < n):
+            raise Damaged("no version line and headers")
+        if end >= 0:
+            break
+        # what can't be headers isn't read on to the end of the file
+        if any(x[:1] not in (b" ", b"\t") and b":" not in x for x in head.split(b"\r\n")[1:-1]):
+            raise Damaged("bad header line")
+        n, seen = 2 * n, len(head)
     found: dict[str, str] = {}
     for line in head[:end].split(b"\r\n")[1:]:
         if line[:1] in (b" ", b"\t") and found:  # folded

@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from harrier.llm import exchange, minhash, recompress, suffix_dedup
+from harrier.llm import exchange, minhash, recompress, suffix_dedup, warc
 
 
 @pytest.mark.parametrize("records", [suffix_dedup.range_records, recompress.range_records])
@@ -32,3 +32,12 @@ def test_components_without_an_id_of_their_own_stay(spark):
     rows = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (None, texts[0]), (7, texts[2]), (8, texts[3])]
     got = minhash.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((str(r.doc_id), r.text) for r in got) == sorted((str(i), t) for i, t in rows[:4])
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_headers_of_any_length(packed):
+    records = [warc.encode_record(i, url, b"<p>x</p>", None, False) for i, url in enumerate(["http://a.org/", "http://b.org/" + "x" * 200_000, "http://c.org/" + "é" * 30_000, "http://d.org/"])]
+    raw = b"".join(map(warc.member, records) if packed else records)
+    rows = list(warc.read_range(pa.BufferReader(raw), len(raw)))
+    assert [r["kind"] for r in rows] == ["record"] * 4
+    assert len(rows[1]["headers"]["warc-target-uri"]) == 200_013
