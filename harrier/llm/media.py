@@ -13,18 +13,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import remove, settle, written
 from .components import components
+from .exchange import pack, unpack
 from .minhash import mixed
 from .stars import verified
 
 SCALES = (1.0, 1.4142, 2.0)
-FEATURES, BITS, TABLES, RADIUS = 33, 256, 4, 12
+#: The corners of a small image; a larger one has one for every so many pixels.
+FEATURES, PIXELS_A_CORNER = 48, 1024
+BITS, TABLES, RADIUS = 256, 8, 12
 MIN_SHARED, MOST_DISTANCE, TOLERANCE, MIN_AGREE = 2, 48, 3.0, 7
-FEATURE = np.dtype([("x", "f4"), ("y", "f4"), ("scale", "f4"), ("angle", "f4"), ("bits", "u8", (BITS // 64,))])
+FEATURE = np.dtype([("x", "f4"), ("y", "f4"), ("bits", "u8", (BITS // 64,))])
+ENTRY = np.dtype([("bits", "u4"), ("nid", "i8")])
+#: Table entries that a task holds before it sends them, and that a part has about.
+HELD, ENTRIES_A_PART = 1_000_000, 2_000_000
+#: Rows of a distance matrix that are made at a time.
+ROWS = 512
 
 
 def _tests() -> np.ndarray:
@@ -60,8 +68,9 @@ def _shrunk(x: np.ndarray, scale: float) -> np.ndarray:
     return top * (1 - fy) + low * fy
 
 
-def features(image: np.ndarray, most: int = FEATURES) -> np.ndarray:
+def features(image: np.ndarray, most: int | None = None) -> np.ndarray:
     """The strongest corners of a grey image with their descriptors; none of an image too small or flat."""
+    most = max(FEATURES, image.size // PIXELS_A_CORNER) if most is None else most
     image, edge, found = image.astype(np.float64), RADIUS + 3, []
     for scale in SCALES:
         level = _shrunk(image, scale)
@@ -93,22 +102,22 @@ def features(image: np.ndarray, most: int = FEATURES) -> np.ndarray:
         value = smooth[py, px]
         bits = np.packbits(value[..., 0] < value[..., 1], axis=1).view(np.uint64)
         out = np.empty(len(ys), FEATURE)
-        out["x"], out["y"], out["scale"], out["angle"], out["bits"] = xs * scale, ys * scale, scale, angle, bits
+        out["x"], out["y"], out["bits"] = xs * scale, ys * scale, bits
         found.append(out)
     return np.concatenate(found) if found else np.empty(0, FEATURE)
 
 
 def keys(own: np.ndarray) -> np.ndarray:
-    """The distinct table keys of an image's descriptors: 64 bits each, told apart by table."""
-    parts = np.ascontiguousarray(own["bits"]).view(np.uint64).reshape(len(own), TABLES)
-    return np.unique(mixed(parts + np.arange(TABLES, dtype=np.uint64))).view(np.int64)
+    """The distinct table keys of an image's descriptors: the table in the upper half, its bits in the lower."""
+    parts = np.ascontiguousarray(own["bits"]).view(np.uint32).reshape(len(own), TABLES).astype(np.int64)
+    return np.unique(parts + (np.arange(TABLES, dtype=np.int64) << 32))
 
 
 def same_image(x: np.ndarray, y: np.ndarray) -> bool:
     """Whether enough mutual nearest neighbours agree on one turn, scale and shift."""
     if len(x) < MIN_AGREE or len(y) < MIN_AGREE:
         return False
-    distance = np.bitwise_count(x["bits"][:, None, :] ^ y["bits"][None, :, :]).sum(axis=2)
+    distance = np.concatenate([np.bitwise_count(x["bits"][k : k + ROWS, None, :] ^ y["bits"][None, :, :]).sum(axis=2, dtype=np.uint16) for k in range(0, len(x), ROWS)])
     to, back = distance.argmin(axis=1), distance.argmin(axis=0)
     i = np.flatnonzero((back[to] == np.arange(len(x))) & (distance[np.arange(len(x)), to] <= MOST_DISTANCE))
     if len(i) < MIN_AGREE:
@@ -116,12 +125,16 @@ def same_image(x: np.ndarray, y: np.ndarray) -> bool:
     a, b = x[i], y[to[i]]
     # each two matches give a transform as complex numbers: b = turn * a + shift
     p, q = a["x"] + 1j * a["y"], b["x"] + 1j * b["y"]
-    far = np.abs(p[:, None] - p[None, :])
-    j = far.argmax(axis=1)
-    turn = (q[j] - q) / np.where(far.max(axis=1) > 0, p[j] - p, 1)
-    votes = (np.abs((turn[:, None] * (p[None, :] - p[:, None]) + q[:, None]) - q[None, :]) < TOLERANCE).sum(axis=1)
-    good = (np.abs(turn) > 0.3) & (np.abs(turn) < 3.3)
-    return bool(good.any() and votes[good].max() >= MIN_AGREE)
+    for k in range(0, len(p), ROWS):
+        own, to_own = p[k : k + ROWS], q[k : k + ROWS]
+        far = np.abs(own[:, None] - p[None, :])
+        j = far.argmax(axis=1)
+        turn = (q[j] - to_own) / np.where(far.max(axis=1) > 0, p[j] - own, 1)
+        votes = (np.abs((turn[:, None] * (p[None, :] - own[:, None]) + to_own[:, None]) - q[None, :]) < TOLERANCE).sum(axis=1)
+        good = (np.abs(turn) > 0.3) & (np.abs(turn) < 3.3)
+        if good.any() and votes[good].max() >= MIN_AGREE:
+            return True
+    return False
 
 
 def grey(data: bytes, width: int, height: int, channels: int) -> np.ndarray | None:
@@ -147,16 +160,60 @@ def described(images: DataFrame) -> DataFrame:
     return images.select("image_id", "node", "data", "width", "height", "channels").mapInArrow(work, f"image_id {kind}, node binary, n_features long, item binary")
 
 
-def table_keys(nodes: DataFrame) -> DataFrame:
-    """(node, item) -> (node, key), a row per distinct key."""
+def shared_keys(nodes: DataFrame, entries: int) -> DataFrame:
+    """(nid, item) -> (key, nid), a row per distinct key of an image that another image has too.
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The entries are dealt by key in packed blocks, and only shared ones become rows. entries: about how many there are.
+    """
+    per = -(-max(entries // ENTRIES_A_PART, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))) // TABLES)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, int]] = []
+
+        def flush() -> pa.RecordBatch:
+            key = np.concatenate([x for x, _ in held])
+            rows = np.empty(len(key), ENTRY)
+            rows["bits"], rows["nid"] = key & 0xFFFFFFFF, np.repeat([n for _, n in held], [len(x) for x, _ in held])
+            part = (key >> 32) * per + (mixed(rows["bits"].astype(np.uint64)) % np.uint64(per)).astype(np.int64)
+            order = np.lexsort((rows["nid"], part))
+            rows, part = rows[order], part[order]
+            cut = np.flatnonzero(np.diff(part)) + 1
+            blocks = [pack(x) for x in np.split(rows, cut)]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(part[[0, *cut]], pa.int32()), pa.array(blocks, pa.binary())], ["part", "block"])
+
+        size = 0
         for batch in batches:
-            own = [keys(np.frombuffer(x, FEATURE)) for x in batch.column(1).to_pylist()]
-            at = np.repeat(np.arange(len(own)), [len(x) for x in own])
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at)), pa.array(np.concatenate([np.empty(0, np.int64), *own]))], ["node", "key"])
+            for nid, raw in zip(batch.column("nid").to_pylist(), batch.column("item").to_pylist(), strict=True):
+                if raw:
+                    held.append((keys(np.frombuffer(raw, FEATURE)), nid))
+                    size += len(held[-1][0])
+                if size >= HELD:
+                    yield flush()
+                    size = 0
+        if held:
+            yield flush()
+
+    def meet(group: pa.Table) -> pa.Table:
+        rows = np.concatenate([unpack(x, ENTRY) for x in group.column("block").to_pylist()])
+        rows = rows[np.argsort(rows["bits"], kind="stable")]
+        same = rows["bits"][1:] == rows["bits"][:-1]
+        rows = rows[np.append(same, False) | np.append(False, same)]
+        key = rows["bits"].astype(np.int64) + ((group.column("part")[0].as_py() // per) << 32)
+        return pa.table([pa.array(key, pa.int64()), pa.array(np.ascontiguousarray(rows["nid"]), pa.int64())], ["key", "nid"])
+
+    return nodes.select("nid", "item").mapInArrow(send, "part int, block binary").groupBy("part").applyInArrow(meet, "key long, nid long")
+
 
-    return nodes.select("node", "item").mapInArrow(work, "node binary, key long")
+def _as_binary(nid: str) -> Column:
+    return F.unhex(F.lpad(F.hex(nid), 16, "0"))
+
+
+def _labelled(rows: DataFrame, label: DataFrame | None, on: str, name: str) -> DataFrame:
+    if label is None:
+        return rows.withColumn(name, F.col(on))
+    got = rows.join(label.select(F.col("node").alias(on), F.col("label").alias(name)), on, "left")
+    return got.withColumn(name, F.coalesce(name, on))
 
 
 def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
@@ -172,36 +229,36 @@ def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
     # pixels stay where they are read; only features move
     every, every_path = written(described(rows), "features")
     slim = settle(every.select("image_id", "node", "n_features"))
-    nodes, path = written(every.groupBy("node").agg(F.first("item").alias("item")), "images")
+    nodes = every.groupBy("node").agg(F.first("item").alias("item"))
+    nodes, path = written(nodes.withColumn("nid", F.monotonically_increasing_id()), "images")
     remove(images.sparkSession, every_path)
 
-    bands = table_keys(nodes)
-    many = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets, buckets_path = written(bands.join(settle(many), "key"), "buckets")
-    items = nodes.select("node", "item")
+    entries = TABLES * (slim.agg(F.sum("n_features")).first()[0] or 0)
+    buckets, buckets_path = written(shared_keys(nodes, entries), "buckets")
+    items = nodes.select(_as_binary("nid").alias("node"), "item")
     load = lambda raw: np.frombuffer(raw, FEATURE)
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        more = verified(pairs.select(_as_binary("x").alias("x"), _as_binary("hub").alias("hub")), items, load, same_image)
+        return settle(more.select(*(F.conv(F.hex(c), 16, 10).cast("long").alias(c) for c in ("a", "b"))))
+
     links, label, tried, turn = None, None, None, 0
     while True:
-        own = buckets
-        if label is not None:
-            own = buckets.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        pick = F.min_by("node", F.xxhash64("node", F.lit(turn))) if label is None else F.min_by(F.struct("node", "label"), F.xxhash64("node", F.lit(turn)))
-        hubs = own.groupBy("key").agg(pick.alias("hub"))
-        pairs = own.join(hubs, "key")
-        if label is None:
-            pairs = pairs.where("node <> hub")
-        else:
-            pairs = pairs.where("label <> hub.label").withColumn("hub", F.col("hub.node"))
-        pairs = pairs.groupBy(F.greatest("node", "hub").alias("x"), F.least("node", "hub").alias("hub")).agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SHARED).drop("n")
+        own = _labelled(buckets, label, "nid", "label")
+        hubs = own.groupBy("key").agg(F.min_by(F.struct("nid", "label"), F.xxhash64("nid", F.lit(turn))).alias("hub"))
+        pairs = own.join(hubs, "key").where("label <> hub.label").withColumn("hub", F.col("hub.nid"))
+        pairs = pairs.groupBy(F.greatest("nid", "hub").alias("x"), F.least("nid", "hub").alias("hub")).agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SHARED).drop("n")
         pairs = settle(pairs if tried is None else pairs.join(tried, ["x", "hub"], "left_anti"))
         if pairs.isEmpty():
             break
-        more = settle(verified(pairs, items, load, same_image))
+        more = compared(pairs)
         tried = pairs if tried is None else settle(tried.unionByName(pairs))
         if more.isEmpty():
             break
         links = more if links is None else settle(links.unionByName(more))
         label, turn = settle(components(links)), turn + 1
+    if label is not None:
+        label = label.withColumnRenamed("node", "nid").join(nodes.select("node", "nid"), "nid").select("node", _as_binary("label").alias("label"))
     least = slim.groupBy("node").agg(F.min("image_id").alias("image_id"))
     least = least.withColumn("label", F.col("node")) if label is None else least.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = least.join(least.groupBy("label").agg(F.min("image_id").alias("component_id")), "label").select("node", "component_id")
