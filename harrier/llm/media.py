@@ -4,7 +4,8 @@ Corners are found at several scales; each gets an orientation by its intensity c
 tests of smoothed brightness, turned by it. The 256 bits are cut into TABLES keys; images that share a key
 meet in a bucket, each with the bucket's hub of this round, and pairs with enough shared keys are compared on all
 descriptors: mutual nearest neighbours in Hamming distance, then the similarity transform that most of
-them agree on. Rounds with other hubs go on until one adds no link.
+them agree on. Rounds with other hubs go on until one adds no link. Then all pairs of images that share enough keys
+but no component are compared, so none that the tables bring together is left untried.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ FEATURE = np.dtype([("x", "f4"), ("y", "f4"), ("bits", "u8", (BITS // 64,))])
 ENTRY = np.dtype([("bits", "u4"), ("nid", "i8")])
 #: Table entries that a task holds before it sends them, and that a part has about.
 HELD, ENTRIES_A_PART = 1_000_000, 2_000_000
+#: Members of a bucket that one task compares with as many others, and pairs that share a key counted at a time, about.
+BLOCK, PAIRS_A_SLICE = 512, 8_000_000
 #: Rows of a distance matrix that are made at a time.
 ROWS = 512
 
@@ -216,6 +219,34 @@ def _labelled(rows: DataFrame, label: DataFrame | None, on: str, name: str) -> D
     return got.withColumn(name, F.coalesce(name, on))
 
 
+def residual(buckets: DataFrame, label: DataFrame | None) -> tuple[DataFrame, int, str]:
+    """(key, nid, label, main, blocks) of buckets with several components, `main` the largest one; in how many
+    slices their pairs are to be counted; and the path of the table."""
+    rows = _labelled(buckets, label, "nid", "label")
+    per = rows.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.count("*").alias("labels"), F.sum("c").alias("n"), F.max(F.struct("c", "label")).alias("top"))
+    per = per.where("labels > 1").select("key", F.col("top.label").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), (F.col("n") * F.col("n") - F.col("top.c") * F.col("top.c")).alias("pairs"))
+    per, per_path = written(per, "several")
+    rest, path = written(rows.join(per.drop("pairs"), "key"), "residual")
+    total = per.agg(F.sum(F.col("pairs").cast("double"))).first()[0] or 0
+    remove(buckets.sparkSession, per_path)
+    return rest, int(-(-total // (2 * PAIRS_A_SLICE))), path
+
+
+def residual_pairs(rest: DataFrame, slices: int, k: int) -> DataFrame:
+    """Slice k of the pairs (x, hub) of different components that share MIN_SHARED keys, of whatever hubs.
+
+    Members outside a bucket's largest component ask all others; a bucket is dealt in blocks of BLOCK by BLOCK.
+    A pair's slice hangs on the pair, so all keys that it shares are counted together.
+    """
+    rows = rest.withColumn("own", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    asks = rows.where("label <> main").select("key", F.col("nid").alias("a"), F.col("label").alias("la"), F.col("own").alias("bx"), every.alias("by"))
+    gives = rows.select("key", F.col("nid").alias("b"), F.col("label").alias("lb"), F.col("main").alias("mb"), every.alias("bx"), F.col("own").alias("by"))
+    pairs = asks.join(gives, ["key", "bx", "by"]).where("la <> lb and (lb = mb or a > b)").select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("hub"))
+    pairs = pairs.where(F.pmod(F.xxhash64("x", "hub"), F.lit(slices)) == k)
+    return pairs.groupBy("x", "hub").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SHARED).drop("n")
+
+
 def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
     """(image_id, n_features, component_id, kept) of images (id, data, width, height, channels), a row per row.
 
@@ -257,6 +288,18 @@ def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
             break
         links = more if links is None else settle(links.unionByName(more))
         label, turn = settle(components(links)), turn + 1
+    rest, n_slices, rest_path = residual(buckets, label)
+    for k in range(n_slices):
+        pairs = residual_pairs(rest, n_slices, k)
+        pairs = pairs if tried is None else pairs.join(tried, ["x", "hub"], "left_anti")
+        pairs = settle(_labelled(_labelled(pairs, label, "x", "_lx"), label, "hub", "_lh").where("_lx <> _lh").select("x", "hub"))
+        if pairs.isEmpty():
+            continue
+        more = compared(pairs)
+        if not more.isEmpty():
+            links = more if links is None else settle(links.unionByName(more))
+            label = settle(components(links))
+    remove(images.sparkSession, rest_path)
     if label is not None:
         label = label.withColumnRenamed("node", "nid").join(nodes.select("node", "nid"), "nid").select("node", _as_binary("label").alias("label"))
     least = slim.groupBy("node").agg(F.min("image_id").alias("image_id"))
