@@ -297,6 +297,12 @@ def label_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select("seq", labels.label_text(F.col("class_name"), F.col("confidence")).alias("label"))
 
 
+@query()
+def label_text_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels of all rows, exact halves among them."""
+    return fixtures.detections(spark, sf_dir).select("seq", labels.label_text(F.col("class_name"), F.col("confidence")).alias("label"))
+
+
 def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
     endings = F.array(*(F.lit(x) for x in (".tif", ".TIFF", ".jpg", ".png", ".tiff.bak")))
     return fixtures.table(spark, sf_dir, "events").select("event_id", F.concat("event_type", F.get(endings, (F.col("event_id") % 5).cast("int"))).alias("path"))

@@ -1,11 +1,14 @@
 """What a review found to be less than the whole job."""
 
+from decimal import ROUND_FLOOR, Decimal
+
 import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from harrier.llm import exchange, media, media_fixture, minhash, recompress, suffix_dedup, warc
+from harrier.plans import fixtures, queries
 
 
 @pytest.mark.parametrize("records", [suffix_dedup.range_records, recompress.range_records])
@@ -81,3 +84,13 @@ def test_copies_beside_an_unrelated_hub(spark, monkeypatch):
     rows = [image_row(i, x) for i, x in enumerate(images)] + [image_row(100 + i, media_fixture.edited(images[i], i)) for i in range(12)]
     got = {r.image_id: r.component_id for r in media.image_copies(spark.createDataFrame(rows, IMAGES)).collect()}
     assert got == {i: i % 100 for i in got}
+
+
+def test_labels_of_all_rows(spark):
+    """Halves are those of the double confidence * 100, as in JavaScript's toFixed, and go up."""
+    sf = "/root/testdata/sf0.001"
+    own = {r.seq: (r.class_name, r.confidence) for r in fixtures.detections(spark, sf).collect()}
+    got = {r.seq: r.label for r in queries.QUERIES["label_text_all"](spark, sf).collect()}
+    expected = {k: f"{name} {int((Decimal(c * 100) + Decimal('0.5')).to_integral_value(ROUND_FLOOR))}%" for k, (name, c) in own.items()}
+    assert got == expected
+    assert sum((k * 37) % 10 == 5 for k in got) > len(got) // 20
