@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,17 +19,20 @@ _SCRATCH: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else one of our own (local tests)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir. Only a local session may do without it and gets one of its own."""
+    context = spark.sparkContext
+    found = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    current = context._jsc.sc().getCheckpointDir()
     if found:
-        if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-            spark.sparkContext.setCheckpointDir(found)
+        if current.isEmpty():
+            context.setCheckpointDir(found)
         return found
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
-    spark.sparkContext.setCheckpointDir("/tmp/harrier-checkpoints")
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir("/tmp/harrier-checkpoints")
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -60,10 +66,7 @@ def free(spark: SparkSession) -> None:
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage: a reliable checkpoint in the shared folder, removed once nothing refers to it."""
     shared_dir(df.sparkSession)
-    out = df.checkpoint(eager=True)
-    del df
-    free(out.sparkSession)
-    return out
+    return df.checkpoint(eager=True)
 
 
 def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
@@ -84,3 +87,20 @@ def fresh(name: str, taken: list[str]) -> str:
     while name.lower() in low:
         name = f"_{name}"
     return name
+
+
+#: Bytes of a batch that become Python objects at a time; a longer row is a slice of its own.
+SLICE_BYTES = 2 << 20
+
+
+def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about `most` bytes, so that a task's memory hangs on its longest row, not on its number of rows."""
+    for batch in batches:
+        step = max(1, int(batch.num_rows * most / max(1, batch.get_total_buffer_size() or 1)))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
+def raws(column: pa.Array) -> list:
+    """Strings as UTF-8 bytes, without a detour by str."""
+    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type) else pa.binary()).to_pylist()

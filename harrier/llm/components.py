@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import remove, written
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -29,19 +29,28 @@ def _small(edges: DataFrame) -> DataFrame:
     return joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(own).where("a <> b").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(a, b) -> (node, label): the label is the smallest node that can be reached.
+def written_components(edges: DataFrame) -> tuple[DataFrame, str]:
+    """(a, b) -> (node, label), and the path of that table: the label is the smallest node that can be reached.
 
     Nodes without edges have no row. Loops and repeated edges change nothing. Minima are partial sums and
     neighbours are joined, not gathered, so a node with very many neighbours is never in one task.
     """
-    edges = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    spark = edges.sparkSession
+    edges, path = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     mark = _mark(edges)
     while mark[0]:
-        edges = settle(_small(_large(edges)))
-        after = _mark(edges)
+        edges, after_path = written(_small(_large(edges)), "edges")
+        remove(spark, path)
+        path, after = after_path, _mark(edges)
         if after == mark:
             break
         mark = after
     own = edges.select(F.col("b").alias("node")).distinct().select("node", F.col("node").alias("label"))
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(own)
+    out = written(edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(own), "components")
+    remove(spark, path)
+    return out
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """The same without the path, for callers that leave the table until the driver ends."""
+    return written_components(edges)[0]

@@ -19,6 +19,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import raws  # noqa: F401
+
 RECORD = np.dtype([("name", "u8"), ("ctx", "u8"), ("rank", "i8"), ("dkey", "i8"), ("a", "i4"), ("m", "u2"), ("f", "u1")])
 ANSWER = np.dtype([("dkey", "i8"), ("name", "u8"), ("a", "i4"), ("m", "u2"), ("f", "u1")])
 REPEATED, SEVERAL = 1, 2
@@ -151,11 +153,6 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return out.select("doc_id", key.alias("dkey"), F.coalesce(F.col("doc_id").try_cast("long"), F.lit(LAST)).alias("rank"), "text")
 
 
-def raws(column: pa.Array) -> list:
-    """Strings as UTF-8 bytes, without a detour by str."""
-    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
-
-
 def mask(n: int, answers: np.ndarray, width: int) -> np.ndarray:
     """Of n units, those under windows [a, a + m) of `width` units that are covered."""
     edge = np.zeros(n + 1, np.int32)

@@ -287,7 +287,7 @@ def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
         if more.isEmpty():
             break
         links = more if links is None else settle(links.unionByName(more))
-        label, turn = settle(components(links)), turn + 1
+        label, turn = components(links), turn + 1
     rest, n_slices, rest_path = residual(buckets, label)
     for k in range(n_slices):
         pairs = residual_pairs(rest, n_slices, k)
@@ -298,7 +298,7 @@ def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
         more = compared(pairs)
         if not more.isEmpty():
             links = more if links is None else settle(links.unionByName(more))
-            label = settle(components(links))
+            label = components(links)
     remove(images.sparkSession, rest_path)
     if label is not None:
         label = label.withColumnRenamed("node", "nid").join(nodes.select("node", "nid"), "nid").select("node", _as_binary("label").alias("label"))

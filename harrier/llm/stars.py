@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 #: Members that are compared with one copy of a hub.
 STAR = 512
 
@@ -27,7 +29,7 @@ def verified(edges: DataFrame, items: DataFrame, load: Callable[[bytes], Any], l
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, last = None, None
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple[bytes, bytes]] = []
             for node, hub, role, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if role == 0:
