@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
 import gc
 import re
+import threading
 import uuid
 from collections.abc import Iterator
 
@@ -76,6 +79,13 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
+def small_batches(spark: SparkSession, most: int = 4 << 20) -> None:
+    """Let Spark hand rows to Python workers in batches of at most `most` bytes, unless the session says something itself."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark.sparkContext.getConf().contains(name):
+        spark.conf.set(name, str(most))
+
+
 def n_words(text: str | Column) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.regexp_count(text, F.lit(f"({WORD})")), F.lit(0)).cast("long")
@@ -94,11 +104,25 @@ SLICE_BYTES = 2 << 20
 
 
 def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about `most` bytes, so that a task's memory hangs on its longest row, not on its number of rows."""
+    """The same rows in batches of about `most` bytes, so that a task's memory hangs on its longest row, not on its number of rows.
+
+    A worker process serves many tasks; soon after this one it gives the memory back that it doesn't use.
+    """
     for batch in batches:
         step = max(1, int(batch.num_rows * most / max(1, batch.get_total_buffer_size() or 1)))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+    timer = threading.Timer(1.0, trim)
+    timer.daemon = True
+    timer.start()
+
+
+def trim() -> None:
+    """Give memory that is free inside this process back to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def raws(column: pa.Array) -> list:

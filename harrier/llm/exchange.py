@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import raws  # noqa: F401
+from .common import raws, slices  # noqa: F401
 
 RECORD = np.dtype([("name", "u8"), ("ctx", "u8"), ("rank", "i8"), ("dkey", "i8"), ("a", "i4"), ("m", "u2"), ("f", "u1")])
 ANSWER = np.dtype([("dkey", "i8"), ("name", "u8"), ("a", "i4"), ("m", "u2"), ("f", "u1")])
@@ -118,7 +118,7 @@ def decide(docs: DataFrame, extract: Callable[[pa.RecordBatch], Iterator[np.ndar
             yield _table([(p, 0, x) for p, x in _deal(records, "name", parts)])
             yield _table([(p, 1, x) for p, x in _deal(answers, "dkey", parts)])
 
-        for batch in batches:
+        for batch in slices(batches):
             for records in extract(batch):
                 held.append(records)
                 if sum(map(len, held)) >= BLOCK:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .exchange import raws
+from .common import raws, slices
 from .html_pages import labelled_pages
 
 #: Elements whose text is never shown as text.
@@ -298,7 +298,7 @@ def extract(pages: DataFrame, model: Model | None = None, id_col: str = "page_id
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts, held, size = [], [], 0
             for raw in raws(batch.column(2)):
                 held.append((raw or b"").decode("utf-8", "replace"))

@@ -39,7 +39,7 @@ POSSIBLE = 0.58
 #: Sketches, and shingles of full sets, that are one block of those that meet, about.
 BLOCK, BLOCK_SHINGLES = 1024, 400_000
 #: Bytes of words and their hashes that a task remembers, and what a word takes besides its letters, about.
-MOST_BYTES, WORD_BYTES = 96 << 20, 170
+MOST_BYTES, WORD_BYTES = 48 << 20, 170
 _U = np.uint64
 _MULTIPLY = [_U(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(1, SHINGLE + 1)]
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, settle
+from .common import fresh, raws, settle, slices
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 MORE = ("n_chars", "n_lines", "n_upper", "n_digits", "n_distinct")
@@ -76,7 +76,8 @@ def stats_of(text: Column) -> Column:
 
     @F.arrow_udf(", ".join(f"{x}: long" for x in STATS))
     def stats(texts: pa.Array) -> pa.Array:
-        rows = [text_stats(x) if x else (0,) * len(STATS) for x in texts.cast(pa.binary() if pa.types.is_string(texts.type) else pa.large_binary()).to_pylist()]
+        parts = slices([pa.RecordBatch.from_arrays([texts], ["text"])])
+        rows = [text_stats(x) if x else (0,) * len(STATS) for part in parts for x in raws(part.column(0))]
         columns = np.array(rows, np.int64).reshape(-1, len(STATS))
         return pa.StructArray.from_arrays([pa.array(columns[:, i]) for i in range(len(STATS))], fields=list(_KIND))
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import slices, written
 from .exchange import ANSWER, DETAIL, RECORD, decide, keyed, mask, raws, unpack
 from .minhash import WordHashes, mixed
 
@@ -229,7 +229,7 @@ def dedup_words(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = []
             for raw, packed in zip(raws(batch.column("text")), batch.column("all").to_pylist(), strict=True):
                 words = (raw or b"").split()

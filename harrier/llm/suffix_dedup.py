@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, remove, written
+from .common import fresh, remove, slices, written
 from .exchange import ANSWER, COVERED, DETAIL, RECORD, decide, keyed, mask, pack, raws, unpack
 from .minhash import mixed
 from .recompress import Prefix, joined
@@ -198,7 +198,7 @@ def contexts(rows: DataFrame, width: int = WIDTH) -> DataFrame:
     """(dkey, answers, text) -> the ranges that need detail: (dkey, name, a, m, piece)."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             held = 0
             pack_up = lambda rows: pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["dkey", "name", "a", "m", "piece"])
@@ -282,7 +282,7 @@ def dedup_bytes(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", tex
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             got = []
             for raw, packed in zip(raws(batch.column("text")), batch.column("all").to_pylist(), strict=True):
                 gone, kept = _kept(raw, packed, width)
