@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from harrier.llm import minhash, mixing, packing, quality, suffix_dedup
-from harrier.llm.common import written
+from harrier.llm.common import small_batches, written
 from harrier.llm.queries import table, tokenizer_path
 
 
@@ -21,27 +21,32 @@ def _measured(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the learned ones reject."""
+    small_batches(spark)
     rules = quality.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
     return quality.apply(docs, rules).where("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    small_batches(spark)
     return minhash.deduplicated(docs)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes under 200-byte strings that also start elsewhere."""
+    small_batches(spark)
     return _measured(suffix_dedup.deduplicated(docs))
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, a row per copy."""
+    small_batches(spark)
     return _measured(mixing.mixed_documents(docs))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
+    small_batches(spark)
     return packing.pack(docs, tokenizer_path())
 
 
