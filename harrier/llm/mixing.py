@@ -6,13 +6,14 @@ prefix-summed to the source's budget. Whole epochs come first: floor(target / si
 document, and the rest of the budget goes to the first documents in key order; the document that
 crosses the budget gives only the words that are missing.
 
-No task holds a source: 1 - u ** (1 / weight) rises with the key and lies in (0, 1), so its first two
-bytes deal a source into 256 buckets of 256. Sums per bucket find the bucket that the budget ends in,
-sums of its parts find the part, and only that part (about 1 / 65536 of a source) is ordered row by row.
+No task holds a source. Cells of the key's logarithm deal a source's documents; sums per cell find the one that
+the budget ends in, which is cut into finer cells until it has at most ROWS documents. Only that cell is ordered, by a
+row for each distinct (key, id, size); rows that repeat are counted, and numbered by the partitions that they lie in.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,7 +25,9 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
 SEED = 20_240_607
-PARTS = 256
+#: Cells per octave of the key are 2 to the power of these, coarse to fine, until the cell that the budget ends in has at most ROWS documents.
+LEVELS = (5, 13, 21, 29, 37, 45)
+ROWS = 100_000
 SALTS = 64
 
 
@@ -77,43 +80,53 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHAR
         n_words(text).alias("size"),
         source.cast("string").alias("source"),
         F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n")).alias("skey"),
-        F.pow(u, 1 / (quality_weight(text) if weight is None else weight)).alias("_p"),
+        (-F.log(u) / (quality_weight(text) if weight is None else weight)).alias("_p"),
         tag.alias("tag"),
     )
-    slim = slim.withColumn("_p", 1 - F.col("_p")).withColumn("_x", F.least(F.floor(F.col("_p") * PARTS * PARTS), F.lit(PARTS * PARTS - 1)))
-    slim = settle(slim.withColumn("_b1", F.floor(F.col("_x") / PARTS).cast("int")).withColumn("_b2", (F.col("_x") % PARTS).cast("int")).withColumn("_salt", F.pmod(F.xxhash64("_p"), F.lit(SALTS)).cast("int")).drop("_x"))
+    # keys lie between 2 ** -54 and some 2 ** 10, whatever the weight, so their logarithms spread evenly enough
+    slim = settle(slim.withColumn("_log", F.log2("_p") + 64).withColumn("_salt", F.pmod(F.xxhash64("_p"), F.lit(SALTS)).cast("int")))
 
-    sums = slim.groupBy("skey", "_b1").agg(F.sum("size").alias("_s"), F.first("source").alias("source"))
+    def cell(level: int) -> Column:
+        return F.floor(F.col("_log") * float(1 << level))
+
+    sums = slim.groupBy("skey", cell(LEVELS[0]).alias("_cell")).agg(F.sum("size").alias("_s"), F.count("*").alias("_n"), F.first("source").alias("source"))
     sizes = sums.groupBy("skey").agg(F.first("source").alias("source"), F.sum("_s").alias("source_size"))
     plan = source_targets(sizes, weights, share, most)
     plan = plan.withColumn("_epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
     plan = settle(plan.withColumn("_rem", F.floor(F.col("target")).cast("long") - F.col("_epochs") * F.col("source_size")))
 
-    def crossing(parts: DataFrame, by: str, start: Column) -> DataFrame:
-        """Of each source, the part that the budget ends in, with the words before it."""
-        order = Window.partitionBy("skey").orderBy(by)
-        parts = parts.withColumn("_before", start + F.sum("_s").over(order) - F.col("_s"))
-        return parts.where((F.col("_before") <= F.col("_rem")) & (F.col("_rem") < F.col("_before") + F.col("_s")))
+    def crossing(parts: DataFrame) -> DataFrame:
+        """Of each source, the cell that the budget ends in, with the words before it and its number of documents."""
+        order = Window.partitionBy("skey").orderBy("_cell")
+        parts = parts.withColumn("_start", F.col("_start") + F.sum("_s").over(order) - F.col("_s"))
+        parts = parts.where((F.col("_start") <= F.col("_rem")) & (F.col("_rem") < F.col("_start") + F.col("_s")))
+        return settle(parts.select("skey", "_rem", "_start", F.col("_cell").alias("_edge"), "_n"))
 
     def salted(per_source: DataFrame) -> DataFrame:
         """SALTS copies of a row per source, so that a source's documents need not meet to learn it."""
         return per_source.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
 
-    first = crossing(sums.drop("source").join(plan.select("skey", "_rem"), "skey"), "_b1", F.lit(0)).select("skey", "_rem", F.col("_b1").alias("_c1"), F.col("_before").alias("_start"))
-    first = settle(first)
-    inner = slim.join(salted(first), ["skey", "_salt"]).where(F.col("_b1") == F.col("_c1"))
-    second = inner.groupBy("skey", "_rem", "_c1", "_start", "_b2").agg(F.sum("size").alias("_s"))
-    second = settle(crossing(second, "_b2", F.col("_start")).select("skey", "_c1", F.col("_b2").alias("_c2"), F.col("_before").alias("_start")))
-
-    rows = slim.join(salted(plan.drop("source").join(second, "skey", "left")), ["skey", "_salt"])
-    here, edge = F.struct("_b1", "_b2"), F.struct("_c1", "_c2")
-    last = rows.where(F.col("_c1").isNotNull() & (here == edge))
-    order = Window.partitionBy("skey").orderBy("_p", "doc_id", "size", "tag").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("_start") + F.coalesce(F.sum("size").over(order), F.lit(0))
-    last = last.withColumn("_part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rem") - before)))
-    rest = rows.where(F.col("_c1").isNull() | (here != edge))
-    rest = rest.withColumn("_part", F.when(F.col("_c1").isNotNull() & (here < edge), F.col("size")).otherwise(0))
-    out = rest.unionByName(last)
+    at = 0
+    edge = crossing(sums.drop("source").join(plan.select("skey", "_rem", F.lit(0).cast("long").alias("_start")), "skey"))
+    while at + 1 < len(LEVELS) and (edge.agg(F.max("_n")).first()[0] or 0) > ROWS:
+        inner = slim.join(salted(edge.drop("_n")), ["skey", "_salt"]).where(cell(LEVELS[at]) == F.col("_edge"))
+        at += 1
+        edge = crossing(inner.groupBy("skey", "_rem", "_start", cell(LEVELS[at]).alias("_cell")).agg(F.sum("size").alias("_s"), F.count("*").alias("_n")))
+
+    rows = slim.join(salted(plan.drop("source").join(edge.drop("_rem", "_n"), "skey", "left")), ["skey", "_salt"]).withColumn("_cell", cell(LEVELS[at]))
+    here = F.col("_edge").isNotNull() & (F.col("_cell") == F.col("_edge"))
+    rest = rows.where(~here).withColumn("_part", F.when(F.col("_edge").isNotNull() & (F.col("_cell") < F.col("_edge")), F.col("size")).otherwise(0))
+    # the cell itself: a row for all that repeat, then the place among them
+    last = settle(rows.where(here).withColumn("_pid", F.spark_partition_id()))
+    alike = ["skey", "_p", "doc_id", "size", "tag"]
+    counts = last.groupBy(*alike, "_pid").agg(F.count("*").alias("_m"))
+    before = Window.partitionBy("skey").orderBy("_p", "doc_id", "size", "tag", "_pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum(F.col("_m") * F.col("size")).over(before), F.lit(0)))
+    numbered = last.withColumn("_i", F.row_number().over(Window.partitionBy(*alike, "_pid").orderBy("_salt")) - 1)
+    same = [numbered[c].eqNullSafe(counts[c]) if c in ("doc_id", "tag") else numbered[c] == counts[c] for c in (*alike, "_pid")]
+    numbered = numbered.join(counts, functools.reduce(lambda x, y: x & y, same)).select(*(numbered[c] for c in rows.columns), (F.col("_before") + F.col("_i") * numbered["size"]).alias("_before"))
+    numbered = numbered.withColumn("_part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rem") - F.col("_start") - F.col("_before")))).drop("_before")
+    out = rest.unionByName(numbered)
     return out.select("doc_id", "size", "source", "source_size", "target", (F.col("_epochs") * F.col("size") + F.col("_part")).cast("long").alias("taken"), F.col("_epochs").alias("epochs"), F.col("_part").cast("long").alias("part"), "tag")
 
 

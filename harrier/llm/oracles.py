@@ -45,8 +45,8 @@ _WEIGHTS = "[" + ", ".join(f"{float(w)}::DOUBLE" for w in mixing.WEIGHTS) + "]"
 OP9 = f"""
 WITH d AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size, length(text) - length(translate(text, '#*$%&|<>', '')) AS marks, length(text) AS chars,
     ('0x' || substr(md5(concat_ws(':', '{mixing.SEED}', doc_id, '0')), 1, 13))::BIGINT AS drawn FROM documents),
-k AS (SELECT doc_id, source, size, 1 - pow((drawn + 0.5::DOUBLE) / {float(1 << 52)!r}::DOUBLE,
-    1 / coalesce(greatest(0.05::DOUBLE, 1 - 5.0::DOUBLE * marks / greatest(chars, 1)), 1.0::DOUBLE)) AS key FROM d),
+k AS (SELECT doc_id, source, size, -ln((drawn + 0.5::DOUBLE) / {float(1 << 52)!r}::DOUBLE)
+    / coalesce(greatest(0.05::DOUBLE, 1 - 5.0::DOUBLE * marks / greatest(chars, 1)), 1.0::DOUBLE) AS key FROM d),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
 r AS (SELECT *, ({_WEIGHTS})[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)} + 1] AS w, {float(mixing.MOST)}::DOUBLE * source_size AS cap FROM s),
 f AS (SELECT *, ({mixing.SHARE}::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER b, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level

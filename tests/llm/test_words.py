@@ -273,6 +273,28 @@ def test_mixing_prefers_quality(spark):
     assert by[1] > 2 * by[0]
 
 
+def test_mixing_of_low_weights(spark, monkeypatch):
+    """Documents of low quality are drawn too, not taken by id; and cells are cut until few documents are left."""
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.expr("repeat('w#####%% ', 10)").alias("text"), F.lit("a").alias("source"))
+    plain = {r.doc_id: r.taken for r in mixing.mix(docs, share=0.5, most=1).collect()}
+    assert sum(plain.values()) == 100_000
+    taken = [i for i, n in plain.items() if n]
+    assert len(taken) == 10_000
+    assert abs(sum(taken) / len(taken) - 10_000) < 250  # a mean of ids that are drawn at random
+    monkeypatch.setattr(mixing, "ROWS", 3)
+    assert {r.doc_id: r.taken for r in mixing.mix(docs, share=0.5, most=1).collect()} == plain
+
+
+def test_mixing_of_repeated_rows(spark):
+    rows = [(None, "one two three", "a")] * 500 + [(7, "one two three four", "a")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    got = [(r.doc_id, r.taken) for r in mixing.mix(docs, share=0.5, most=1).collect()]
+    assert sum(n for _, n in got) == 1750
+    whole = [n for _, n in got if n]
+    assert len([n for i, n in got if n not in (0, 3 if i is None else 4)]) <= 1  # one document crosses the budget
+    assert len(whole) >= 437
+
+
 def test_empty_tables(spark, nothing):
     assert recompress.dedup_words(nothing).count() == 0
     assert suffix_dedup.dedup_bytes(nothing).count() == 0
