@@ -59,35 +59,37 @@ o AS (SELECT k.*, source_size, target, epochs, floor(target)::BIGINT - epochs *
 SELECT doc_id, size, source_size, target, (epochs * size + greatest(0, least(size, rem - before)))::BIGINT AS taken FROM o"""
 
 
-def _op10(depth: int = 4, least_share: float = 0.02, least_rows: int = 5, threshold: float = 0.5, strength: float = 10.0, z: float = 2.58) -> str:
-    shape = r"""CASE WHEN seg = '' THEN '' WHEN regexp_matches(stem, '^[0-9]+$') THEN '{n}' WHEN regexp_matches(stem, '^[0-9A-Fa-f-]{8,}$') THEN '{x}' ELSE '{w}' END || lower(regexp_extract(seg, '(\.[A-Za-z][A-Za-z0-9]{0,4})$', 1))"""
-    out = f"""
-WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
-known AS (SELECT doc_id AS page_id, min(quality = 1 AND toxic = 0) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL GROUP BY doc_id),
-t0 AS (SELECT h.*, good, string_split(regexp_replace(path, '^/', ''), '/') AS segs, '' AS template FROM h LEFT JOIN known USING (page_id))"""
-    for k in range(depth):
-        out += f""",
-s{k} AS (SELECT *, segs[{k + 1}] AS seg FROM t{k}),
-n{k} AS (SELECT host, template, seg, count(*) AS n, sum(count(*)) OVER (PARTITION BY host, template) AS total FROM s{k} WHERE seg IS NOT NULL GROUP BY host, template, seg),
-f{k} AS (SELECT host, template, seg, true AS often FROM n{k} WHERE n >= {least_rows} AND n >= {least_share}::DOUBLE * total),
-t{k + 1} AS (SELECT page_id, host, path, good, segs, CASE WHEN seg IS NULL THEN template WHEN often THEN template || '/' || seg ELSE template || '/' || {shape} END AS template
-  FROM (SELECT *, regexp_replace(seg, '\\.[A-Za-z][A-Za-z0-9]{{0,4}}$', '') AS stem FROM s{k}) LEFT JOIN f{k} USING (host, template, seg))"""
+def _op10(least_rows: int = 5, threshold: float = 0.5, strength: float = 10.0, z: float = 2.58) -> str:
+    ending = r"\.[A-Za-z][A-Za-z0-9]{0,4}$"
+    shape = rf"""CASE WHEN seg = '' THEN '' WHEN regexp_matches(regexp_replace(seg, '{ending}', ''), '^[0-9]+$') THEN '{{n}}'
+    WHEN regexp_matches(regexp_replace(seg, '{ending}', ''), '^[0-9A-Fa-f-]{{8,}}$') THEN '{{x}}' ELSE '{{w}}' END || lower(regexp_extract(seg, '({ending})', 1))"""
     rule, verdict = "NULL", "NULL"
     for kind, own, start in sorted(urlfilter.RULES, key=lambda r: len(r[1] + r[2])):
         fits = f"(host = '{own}' OR ends_with(host, '.{own}')) AND starts_with(path, '{start}')"
         rule, verdict = f"CASE WHEN {fits} THEN '{own + start}' ELSE {rule} END", f"CASE WHEN {fits} THEN '{kind}' ELSE {verdict} END"
-    return out + f""",
-t AS (SELECT page_id, host, path, good, CASE WHEN len(segs) > {depth} THEN template || '/{{rest}}' ELSE template END AS template FROM t{depth}),
-c AS (SELECT host, template, regexp_replace(template, '/[^/]*$', '') AS parent, count(*) FILTER (good) AS g, count(*) FILTER (NOT good) AS b FROM t GROUP BY host, template),
+    return f"""
+WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+known AS (SELECT doc_id AS page_id, min(quality = 1 AND toxic = 0) AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL GROUP BY doc_id),
+p AS (SELECT host, path, count(*) AS n, count(*) FILTER (good) AS g, count(*) FILTER (NOT good) AS b FROM h LEFT JOIN known USING (page_id) GROUP BY host, path),
+l AS (SELECT *, string_split(regexp_replace(path, '^/', ''), '/') AS segs FROM p),
+s AS (SELECT host, path, n, unnest(segs) AS seg, unnest(range(len(segs))) AS depth FROM l),
+o AS (SELECT host, depth, seg, true AS often FROM s GROUP BY host, depth, seg HAVING sum(n) >= {least_rows}),
+t AS (SELECT host, path, list(CASE WHEN often THEN seg ELSE {shape} END ORDER BY depth) AS parts FROM s LEFT JOIN o USING (host, depth, seg) GROUP BY host, path),
+c AS (SELECT host, parts, sum(g) AS g, sum(b) AS b FROM t JOIN p USING (host, path) GROUP BY host, parts),
+x AS (SELECT *, unnest(range(len(parts) + 1)) AS depth FROM c),
+k AS (SELECT host, parts[:depth] AS pre, sum(g) AS g, sum(b) AS b FROM x GROUP BY host, pre),
+q AS (SELECT host, pre, (g + 0.5::DOUBLE) / (g + b + 1) AS share FROM k),
+d AS (SELECT k.host, k.pre, true AS differs FROM k JOIN q ON k.host = q.host AND len(k.pre) > 0 AND q.pre = k.pre[:len(k.pre) - 1]
+  WHERE g + b > 0 AND abs(g / greatest(g + b, 1) - share) > {z}::DOUBLE * sqrt(share * (1 - share) / greatest(g + b, 1))),
+br AS (SELECT x.host, parts, max(x.depth) AS depth FROM x LEFT JOIN d ON x.host = d.host AND d.pre = parts[:depth] WHERE differs OR x.depth = 0 GROUP BY x.host, parts),
 prior AS (SELECT (sum(g) + 1) / (sum(g) + sum(b) + 2)::DOUBLE AS p FROM c),
 hosts AS (SELECT host, (sum(g) + {strength}::DOUBLE * any_value(p)) / (sum(g) + sum(b) + {strength}::DOUBLE) AS hp FROM c, prior GROUP BY host),
-fam AS (SELECT host, parent, (sum(g) + 0.5::DOUBLE) / (sum(g) + sum(b) + 1) AS p FROM c GROUP BY host, parent),
-own AS (SELECT c.*, hp, CASE WHEN g + b = 0 OR abs(g / greatest(g + b, 1) - p) <= {z}::DOUBLE * sqrt(p * (1 - p) / greatest(g + b, 1)) THEN parent || '/{{merged}}' ELSE template END AS branch
-  FROM c JOIN fam USING (host, parent) JOIN hosts USING (host)),
-m AS (SELECT host, branch, (sum(g) + {strength}::DOUBLE * any_value(hp)) / (sum(g) + sum(b) + {strength}::DOUBLE) AS purity FROM own GROUP BY host, branch),
-v AS (SELECT host, template, CASE WHEN purity < {threshold}::DOUBLE THEN 'block' ELSE 'allow' END AS verdict FROM own JOIN m USING (host, branch))
-SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, verdict) AS verdict, template FROM t JOIN v USING (host, template)"""
+m AS (SELECT host, parts[:depth] AS branch, (sum(g) + {strength}::DOUBLE * any_value(hp)) / (sum(g) + sum(b) + {strength}::DOUBLE) AS purity
+  FROM c JOIN br USING (host, parts) JOIN hosts USING (host) GROUP BY host, branch),
+v AS (SELECT br.host, parts, CASE WHEN purity < {threshold}::DOUBLE THEN 'block' ELSE 'allow' END AS verdict FROM br JOIN m ON br.host = m.host AND m.branch = parts[:depth])
+SELECT page_id, host, path, {rule} AS rule, coalesce({verdict}, verdict) AS verdict, '/' || array_to_string(parts, '/') AS template
+FROM h JOIN t USING (host, path) JOIN v USING (host, parts)"""
 
 
 ORACLES = {"op1_warc": OP1, "op3_minhash": OP3, "op4_recompress": OP4, "op9_mix": OP9, "op10_url_filter": _op10()}

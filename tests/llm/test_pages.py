@@ -172,6 +172,29 @@ def test_template_tree(spark):
     assert urlfilter.filter_urls(pages.where("false"), labels).count() == 0
 
 
+def test_deep_and_rare_branches(spark):
+    """Templates that differ at the sixth segment only, one of many rare sections, and a variable segment above a telling one."""
+    rows = [(i, f"http://h.org/a/b/c/d/e/{'spam' if i % 2 else 'news'}/{i}") for i in range(200)]
+    rows += [(1000 + 200 * k + i, f"http://k.org/s{k}/{i}.html") for k in range(60) for i in range(8 if k else 40)]
+    rows += [(20_000 + i, f"http://v.org/user{i}x/{'ads' if i % 2 else 'posts'}") for i in range(200)]
+    labels = [(i, i % 2 == 0) for i in range(200)] + [(i, i >= 1200) for i, _ in rows[200:] if i < 20_000] + [(20_000 + i, i % 2 == 0) for i in range(200)]
+    got = urlfilter.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, good boolean")).collect()
+    assert len(got) == len(rows)
+    truth = dict(labels)
+    assert all((r.verdict == "allow") == truth[r.page_id] for r in got)
+    assert {r.template for r in got if r.page_id < 200} == {"/a/b/c/d/e/spam/{n}", "/a/b/c/d/e/news/{n}"}
+    assert {r.template for r in got if r.page_id >= 20_000} == {"/{w}/ads", "/{w}/posts"}
+
+
+def test_very_long_urls(spark):
+    rows = [(1, "http://h.org/" + "x" * 200_000), (2, "http://h.org" + "/a" * 2000), (3, "http://h.org" + "/" * 2000), (4, "http://" + "h" * 100_000), (5, "")]
+    got = {r.page_id: r for r in urlfilter.filter_urls(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame([], "doc_id long, good boolean")).collect()}
+    assert got[1].template == "/{w}"
+    assert got[2].template == "/{w}" * 2000
+    assert got[3].path == "/" * 2000
+    assert {r.verdict for r in got.values()} == {"allow"}
+
+
 def test_streams_are_read_in_windows(monkeypatch):
     monkeypatch.setattr(warc, "WINDOW", 4096)
     raw = b"".join(records(30))
