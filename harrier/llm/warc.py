@@ -22,10 +22,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import remove, scratch, written
 
 ROTATE_BYTES = 64 << 20
-SPLIT_BYTES = 64 << 20
+SPLIT_BYTES = 128 << 20
 WINDOW = 1 << 20
 MIN_REVISIT_BYTES = 0
 GZIP, PLAIN = b"\x1f\x8b\x08", b"WARC/1."
@@ -173,31 +173,52 @@ def _next(source: _Source, at: int) -> tuple[int, list[dict], int] | None:
     return None
 
 
-def read_range(file, size: int, start: int = 0, end: int | None = None) -> Iterator[dict]:
-    """Rows of the records that start in [start, end): kind "record" or "gap", offset, length and, for gaps, the reason.
-
-    A range that does not begin the file starts at its first valid record: what lies before belongs to the range before.
-    """
-    source, end = _Source(file, size), size if end is None else min(end, size)
-    at, first = start, start > 0
+def _chain(file, size: int, at: int, end: int) -> Iterator[dict]:
+    """Rows of what starts in [at, end), where `at` is a place that the chain of records from the file's start comes to; then
+    {"kind": "end"} with the place that it comes to at or past `end`."""
+    source = _Source(file, size)
     while at < end:
         try:
-            if first:
-                raise Damaged("")
             rows, to = _one(source, at)
         except Damaged as why:
-            got = _next(source, at if first else at + 1)
-            if not first:
-                stop = got[0] if got else size
-                yield {"kind": "gap", "offset": at, "length": stop - at, "reason": str(why)}
-            if got is None or got[0] >= end:
-                return
-            (at, rows, to), first = got, False
+            got = _next(source, at + 1)
+            stop = got[0] if got else size
+            yield {"kind": "gap", "offset": at, "length": stop - at, "reason": str(why)}
+            if got is None or stop >= end:
+                at = stop
+                break
+            at, rows, to = got
         for row in rows:
             yield row | {"kind": "record", "offset": at, "length": to - at}
         at = to
         while source.read(at, 2) == b"\r\n":  # stray ends between plain records
             at += 2
+    yield {"kind": "end", "offset": at}
+
+
+def _exit(file, size: int, at: int, end: int) -> int:
+    for row in _chain(file, size, at, end):
+        at = row["offset"]
+    return at
+
+
+def read_range(file, size: int, start: int = 0, end: int | None = None, entry: int | None = None) -> Iterator[dict]:
+    """Rows of what the chain of records from the file's start comes to in [start, end): kind "record" or "gap", offset, length and, for gaps, the reason.
+
+    So the rows of the ranges of a file are together those of the whole file, wherever it is cut and damaged and whatever its
+    payloads hold. entry: where the chain comes to `start` or past it, if known; otherwise the file is followed from its beginning.
+    """
+    end = size if end is None else min(end, size)
+    entry = entry if entry is not None else _exit(file, size, 0, start) if start else 0
+    for row in _chain(file, size, entry, end):
+        if row["kind"] != "end":
+            yield row
+
+
+def _guess(file, size: int, start: int) -> int:
+    """Where the chain most likely comes to `start` or past it: the first valid record there."""
+    got = _next(_Source(file, size), start) if start else (0,)
+    return got[0] if got else size
 
 
 def write_warc(rows: DataFrame, folder: str, rotate_bytes: int = ROTATE_BYTES) -> DataFrame:
@@ -240,13 +261,53 @@ def write_warc(rows: DataFrame, folder: str, rotate_bytes: int = ROTATE_BYTES) -
 _RECORD = "path string, kind string, offset long, length long, reason string, page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
 
 
+def _opened(path: str):
+    store, base = pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    return store.open_input_file(base)
+
+
+def entries(files: DataFrame, split_bytes: int) -> DataFrame:
+    """(path, size, start, entry): the ranges of the files and where each is to be read from.
+
+    Every range is followed from its first valid record, in parallel, for the place that it ends at. Where that
+    record isn't the place that the range before ends at, because damage crosses the border or a payload holds a record,
+    the range is followed again from the right one. What meets is a row per range of a file.
+    """
+    ranges = files.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
+    types = (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for path, size, start in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                with _opened(path) as file:
+                    entry = _guess(file, size, start)
+                    out.append((path, size, start, entry, _exit(file, size, entry, min(start + split_bytes, size))))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(types)], ["path", "size", "start", "entry", "to"])
+
+    def resolve(group: pa.Table) -> pa.Table:
+        group = group.sort_by("start")
+        path, size, out, at = group.column("path")[0].as_py(), group.column("size")[0].as_py(), [], 0
+        with _opened(path) as file:
+            for start, entry, to in zip(*(group.column(c).to_pylist() for c in ("start", "entry", "to")), strict=True):
+                out.append((path, size, start, at))
+                at = to if entry == at else _exit(file, size, at, min(start + split_bytes, size))
+        return pa.table([pa.array([x[i] for x in out], t) for i, t in enumerate(types[:4])], ["path", "size", "start", "entry"])
+
+    ranges = ranges.repartition(max(1, files.sparkSession.sparkContext.defaultParallelism * 4))
+    followed = ranges.mapInArrow(follow, "path string, size long, start long, entry long, to long")
+    return followed.groupBy("path").applyInArrow(resolve, "path string, size long, start long, entry long")
+
+
 def read_warc(files: DataFrame, payloads: bool = True, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """Records and gaps of the archives in `files` (path, size): a row each, by `kind`.
 
-    Files are cut into ranges of `split_bytes`; each range is a task's unit and starts at its first valid record.
+    Files are cut into ranges of `split_bytes`, and each range is read from the place that its predecessor ends at; see `entries`.
     Empty files give no rows. A file that is nothing but damage gives one gap.
     """
-    ranges = files.select("path", "size", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("size") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))).alias("start")).where("size > 0")
+    files = files.select("path", "size").where("size > 0")
+    ranges = files.where(F.col("size") <= split_bytes).select("path", "size", *(F.lit(0).cast("long").alias(x) for x in ("start", "entry")))
+    ranges = ranges.unionByName(entries(files.where(F.col("size") > split_bytes), split_bytes))
 
     def number(value: str | None) -> int | None:
         hit = re.fullmatch(r"<urn:page:(-?\d+)>", value or "")
@@ -260,11 +321,10 @@ def read_warc(files: DataFrame, payloads: bool = True, split_bytes: int = SPLIT_
             return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], t) for c, t in zip(columns, kinds, strict=True)], columns)
 
         for batch in batches:
-            for path, size, start in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                store, base = pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+            for path, size, start, entry in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 rows, held = [], 0
-                with store.open_input_file(base) as file:
-                    for row in read_range(file, size, start, start + split_bytes):
+                with _opened(path) as file:
+                    for row in read_range(file, size, start, start + split_bytes, entry):
                         head = row.get("headers", {})
                         rows.append(row | {"path": path, "page_id": number(head.get("warc-record-id")), "url": head.get("warc-target-uri"), "refers_to": number(head.get("warc-refers-to"))})
                         held += len(row.get("payload") or b"") if payloads else 200
@@ -300,6 +360,14 @@ def archive_pages(pages: DataFrame, folder: str | None = None, min_revisit_bytes
 
 
 def round_trip(pages: DataFrame, **options) -> DataFrame:
-    """The pages written and read back: (page_id, payload_bytes, payload_digest, record_type, refers_to)."""
-    rows = read_warc(archive_pages(pages, **options), payloads=False)
-    return rows.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """The pages written and read back: (page_id, payload_bytes, payload_digest, record_type, refers_to).
+
+    The archives are scratch and removed once they are read back.
+    """
+    spark = pages.sparkSession
+    folder = scratch(spark, "warc")
+    rows = read_warc(archive_pages(pages, folder, **options), payloads=False)
+    out, _ = written(rows.where("kind = 'record'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"), "records")
+    for path in (folder, f"{folder}-files"):
+        remove(spark, path)
+    return out

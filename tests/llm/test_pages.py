@@ -61,6 +61,29 @@ def test_salvage(packed):
         assert ids(read(raw, end=k)) + ids(read(raw, start=k)) == list(range(6)) if k else True
 
 
+@pytest.mark.parametrize("packed", [True, False])
+def test_ranges_of_a_damaged_archive(packed, tmp_path, spark):
+    """Wherever it is cut, the ranges give what the whole gives, gaps and embedded records included."""
+    inner = warc.encode_record(99, "http://in/side", b"x" * 50, None, False)
+    own = [warc.encode_record(i, f"http://h/{i}", (b"p%d " % i) * 40 + (inner if i % 2 else b""), None, False) for i in range(7)]
+    own = [warc.member(x) for x in own] if packed else own
+    starts = np.cumsum([0] + [len(x) for x in own]).tolist()
+    damaged = bytearray(b"".join(own))
+    for i in (1, 2, 5):
+        damaged[starts[i] + len(own[i]) // 3] ^= 0xFF
+    raw = bytes(damaged)
+    rows = read(raw)
+    assert "gap" in [r["kind"] for r in rows]
+    for k in range(1, len(raw)):
+        assert read(raw, end=k) + read(raw, start=k) == rows
+    (tmp_path / "a.warc").write_bytes(raw)
+    files = spark.createDataFrame([(str(tmp_path / "a.warc"), len(raw))], "path string, size long")
+    want = sorted((r["kind"], r["offset"], r["length"]) for r in rows)
+    for size in (len(raw), 700, 256):
+        got = warc.read_warc(files, split_bytes=size).collect()
+        assert sorted((r.kind, r.offset, r.length) for r in got) == want
+
+
 def test_wrong_length_and_whole_file_gzip():
     own = records(3, False)
     short = own[1].replace(b"Content-Length: ", b"Content-Length: 9", 1)
