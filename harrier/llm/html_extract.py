@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,8 +32,14 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 CLOSED_BY_BLOCK = frozenset(["p"])
 SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 SCOPE = frozenset("ul ol dl table body html".split())
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+#: Start tags that end an unclosed svg or math, and those that don't end the head.
+BREAK_OUT = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var article main section header footer nav aside form".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template head html".split())
+#: An attribute as browsers cut it: a name runs to white space, / > or =, so it may hold quotes; a value is quoted or runs to white space or >.
+_VALUE = r"""(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*))"""
+ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*)(?:\s*=\s*{_VALUE}?)?")
+_ATTRIBUTES = r"""(?>(?:[\s/]+|[^\s/>][^\s/>=]*(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"'][^\s>]*)?)?)*)"""
+TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</(?:>|[^a-zA-Z>][^>]*(?:>|\Z))|<(/?)([a-zA-Z][^\s/>]*)({_ATTRIBUTES})(?:>|\Z)", re.S)
 
 
 @dataclass
@@ -49,7 +56,9 @@ class Tree:
 def parse(page: str) -> Tree:
     """The block tree of a page, however broken its markup: what is left open ends with the page."""
     t = Tree(["#page"], [()], [-1], [], [0])
-    stack, text, links, hidden, inside = [0], [], 0, 0, 0
+    stack, text, inside = [0], [], 0
+    hidden: list[str] = []  # open elements that hide their text, and what opened in them
+    below: Counter[str] = Counter()
 
     def flush() -> None:
         if text:
@@ -72,6 +81,8 @@ def parse(page: str) -> Tree:
     while True:
         hit = search(page, at)
         piece = page[at : hit.start() if hit else len(page)]
+        if hidden == ["head"] and piece.strip():
+            hidden.clear()  # text ends the head
         if piece and not hidden:
             text.append(piece)
             if inside:
@@ -88,14 +99,28 @@ def parse(page: str) -> Tree:
             gone = page.find(">", end.end() - 1) + 1 if end else 0
             at = (gone or len(page)) if end else len(page)
             continue
+        if hidden and not ending:
+            if hidden[-1] in ("svg", "math") and name in BREAK_OUT or hidden == ["head"] and name not in IN_HEAD:
+                hidden.pop()
+            elif name == "body":
+                hidden.clear()
+        if hidden and ending and name not in hidden:
+            if below[name]:
+                below[name] -= 1
+            elif name not in VOID and any(t.tag[i] == name for i in stack):
+                hidden.clear()  # an end tag of what is open around ends what was left open inside
         if name in HIDDEN:
-            hidden = max(0, hidden + (-1 if ending else 1 if not hit[3].rstrip().endswith("/") else 0))
-            if name == "head" and ending:
-                hidden = 0
+            if not ending:
+                if not (name in ("svg", "math") and hit[3].rstrip().endswith("/")):
+                    hidden.append(name)
+            elif name in hidden:
+                del hidden[len(hidden) - 1 - hidden[::-1].index(name) :]
+            if not hidden:
+                below.clear()
             continue
-        if name == "body" and not ending:
-            hidden = 0
         if hidden:
+            if not ending and name not in VOID:
+                below[name] += 1
             continue
         if name in ("br", "hr"):
             text.append(" ")
@@ -122,7 +147,8 @@ def parse(page: str) -> Tree:
             close(SAME[name], SCOPE)
         found: list[str] = []
         for own in ATTRIBUTE.finditer(hit[3]) if hit[3] else ():
-            found += re.findall(r"[a-z]+", (own[2] or own[3] or own[4] or "").lower())
+            if own[1].lower() in ("class", "id", "role"):
+                found += re.findall(r"[a-z]+", (own[2] or own[3] or own[4] or "").lower())
         t.tag.append(name)
         t.words.append(tuple(dict.fromkeys(found)))
         t.parent.append(stack[-1])
@@ -133,16 +159,26 @@ def parse(page: str) -> Tree:
     return t
 
 
+#: Elements that hold others: how much of the page's text lies in them says something.
+GROUPS = frozenset("article main section div aside nav header footer form dialog td ul ol".split())
+
+
 def _features(t: Tree) -> list[list[str]]:
     sizes, copied = [0] * len(t.tag), [False] * len(t.tag)
     for node, run in t.runs:
         sizes[node] += len(run)
         copied[node] |= "©" in run
+    whole, titled = list(sizes), [tag == "h1" for tag in t.tag]
+    for i in range(len(t.tag) - 1, 0, -1):
+        whole[t.parent[i]] += whole[i]
+        titled[t.parent[i]] |= titled[i]
     out = []
     for i, tag in enumerate(t.tag):
         own = ["bias", f"tag={tag}", *(f"word={w}" for w in t.words[i])]
         if t.words[i]:
             own.append("marked")
+        if whole[i] and tag in GROUPS:
+            own += [f"share={4 * whole[i] // (whole[0] + 1)}", f"titled={titled[i]}"]
         if sizes[i]:
             own.append(f"size={0 if sizes[i] < 30 else 1 if sizes[i] < 150 else 2}")
             if 2 * t.linked[i] > sizes[i]:
@@ -225,7 +261,8 @@ class Model:
 
 
 def _labels(t: Tree, main: str) -> np.ndarray:
-    """1 for nodes that hold main text or lie around nothing but it; 0 for the others."""
+    """1 for nodes that hold main text, for what holds all of it and what lies between, and around that for
+    what holds nothing else; 0 for the others."""
     left, own = main, np.full(len(t.tag), -1)
     for node, run in t.runs:
         at = left.find(run)
@@ -240,7 +277,11 @@ def _labels(t: Tree, main: str) -> np.ndarray:
             inside[i, own[i]] += 1
         if t.parent[i] >= 0:
             inside[t.parent[i]] += inside[i]
-    return np.where(own >= 0, own, inside[:, 1] > inside[:, 0]).astype(int) * (np.array(t.parent) >= 0)
+    around = inside[:, 1] == inside[0, 1]  # what holds all main text; the last of these is the innermost
+    root = int(np.flatnonzero(around)[-1]) if inside[0, 1] else 0
+    around[root] = False
+    between = np.where(around, inside[:, 0] == 0, inside[:, 1] > 0)
+    return np.where(own >= 0, own, between).astype(int) * (np.array(t.parent) >= 0)
 
 
 def train(pages: list[tuple[str, str]], steps: int = 150, rate: float = 0.5, decay: float = 1e-4) -> Model:
