@@ -79,6 +79,13 @@ class Page:
         tag = "ul" if kind in ("nav", "social") and r.random() < 0.4 else "p" if kind == "notice" and r.random() < 0.15 else "ol" if kind == "comments" and r.random() < 0.2 else r.choice(["div", "div", "div", "section", "aside" if kind in ("ad", "side") else "div"])
         return tag, f' class="{word}"'
 
+    def _style(self) -> str:
+        """A class that says how a block looks, not what it is; any block may have one."""
+        r = self.r
+        if r.random() < 0.7:
+            return ""
+        return f' class={r.choice(["lead", "first", "indent", "large", "x", self._words(1).lower().split()[0].strip(".!?&*%<") or "q", "c" + str(r.randint(1, 99))])}'
+
     def _boiler(self, kind: str, inline: bool = False) -> str:
         r = self.r
         tag, attributes = self._mark(kind)
@@ -101,7 +108,7 @@ class Page:
         elif r.random() < 0.5 or tag == "p":
             body = self._text(n(), False)
         else:
-            body = "".join(f"<{t}>{self._text(n(), False)}</{t}>" for t in r.choices(["p", "p", "div", "h3", "h4"], k=r.randint(1, 4)))
+            body = "".join(f"<{t}{self._style()}>{self._text(n(), False)}</{t}>" for t in r.choices(["p", "p", "div", "h3", "h4"], k=r.randint(1, 4)))
         return f"<{tag}{attributes}>{body}</{tag}>"
 
     def _main(self) -> str:
@@ -117,7 +124,7 @@ class Page:
         for _ in range(r.choice([1, 2, 3, 5, 8, 12])):
             kind, n = r.random(), r.choice([1, 2, 5, 12, 30, 60, 90])
             if kind < 0.68:
-                out.append(f"<p>{self._text(n, True)}" + ("</p>" if r.random() < 0.8 else "<br>"))
+                out.append(f"<p{self._style()}>{self._text(n, True)}" + ("</p>" if r.random() < 0.8 else "<br>"))
             elif kind < 0.75:
                 t = r.choice(["h2", "h3"])
                 out.append(f"<{t}>{self._text(r.randint(1, 6), True)}</{t}>")
