@@ -23,8 +23,6 @@ class Config:
     merge_iou: float = 0.5
     pad_grey: int = 114
     class_names: tuple[str, ...] = CLASS_NAMES
-    #: A group of more detections leaves the expression for a vectorised worker.
-    large_group: int = 1000
 
 
 DEFAULT = Config()

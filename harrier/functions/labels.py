@@ -36,3 +36,8 @@ def palette_index(class_id: Column, colours: int = 15) -> Column:
 def label_text(name: Column, confidence: Column) -> Column:
     """E.g. "ship 83%"."""
     return F.format_string("%s %.0f%%", name, confidence * 100)
+
+
+def epsg_text(epsg: Column, unknown: str = "unknown") -> Column:
+    """What a status line says of a georeference."""
+    return F.concat(F.lit("GeoTIFF (EPSG:"), F.coalesce(epsg.cast("string"), F.lit(unknown)), F.lit(")"))

@@ -21,27 +21,40 @@ def _bounded(detections: DataFrame) -> DataFrame:
     return detections.withColumns(dict(zip(("_x0", "_y0", "_x1", "_y1"), geo_bounds(), strict=True)))
 
 
-def hits(first: DataFrame, second: DataFrame, iou: float = DEFAULT.merge_iou, cell: float | None = None) -> DataFrame:
+def hits(first: DataFrame, second: DataFrame, iou: float = DEFAULT.merge_iou, cell: float | str | None = "auto") -> DataFrame:
     """Pairs (a.seq, b.seq) of one pair_id and class that overlap by more than `iou` on the map.
 
-    With `cell`, boxes are dealt into the grid cells of that size that they touch, and a pair is compared in the cell
-    that holds the corner of their common part; without, by pair and class alone.
+    Boxes are dealt into the grid cells that they touch, and a pair is compared in the cell that holds the corner of
+    their common part. A cell is `cell` wide; "auto" makes it the mean extent of a pair's boxes of a class, and at
+    least a sixteenth of the largest, so no box touches more than some hundred cells. None compares by pair and class
+    alone. Boxes with bounds that aren't finite overlap nothing.
     """
-    a = _bounded(first).select("pair_id", "class_id", F.col("seq").alias("a_seq"), F.col("confidence").alias("a_conf"), *(F.col(f"_{x}").alias(f"a{x}") for x in ("x0", "y0", "x1", "y1")))
-    b = _bounded(second).select("pair_id", "class_id", F.col("seq").alias("b_seq"), F.col("confidence").alias("b_conf"), *(F.col(f"_{x}").alias(f"b{x}") for x in ("x0", "y0", "x1", "y1")))
-    keys = ["pair_id", "class_id"]
-    if cell:
-        index = lambda x: F.floor(x / F.lit(float(cell)))
+    sides = ("x0", "y0", "x1", "y1")
+
+    def bounded(rows: DataFrame, p: str) -> DataFrame:
+        own = _bounded(rows).where(" and ".join(f"abs(_{x}) < double('infinity')" for x in sides))
+        return own.select("pair_id", "class_id", F.col("seq").alias(f"{p}_seq"), F.col("confidence").alias(f"{p}_conf"), *(F.col(f"_{x}").alias(f"{p}{x}") for x in sides))
+
+    a, b, keys = bounded(first, "a"), bounded(second, "b"), ["pair_id", "class_id"]
+    if cell is not None:
+        if cell == "auto":
+            extents = a.select(*keys, F.greatest(F.col("ax1") - F.col("ax0"), F.col("ay1") - F.col("ay0")).alias("_e")).unionByName(b.select(*keys, F.greatest(F.col("bx1") - F.col("bx0"), F.col("by1") - F.col("by0")).alias("_e")))
+            widths = extents.groupBy(*keys).agg(F.greatest(F.avg("_e"), F.max("_e") / 16).alias("_cell"))
+            widths = widths.withColumn("_cell", F.when(F.col("_cell") > 0, F.col("_cell")).otherwise(1.0))
+            a, b = a.join(widths, keys), b.join(widths, keys)
+        else:
+            a, b = (x.withColumn("_cell", F.lit(float(cell))) for x in (a, b))
+        index = lambda x: F.floor(x / F.col("_cell"))
         cells = lambda d, p: d.withColumn("_cx", F.explode(F.sequence(index(F.col(f"{p}x0")), index(F.col(f"{p}x1"))))).withColumn("_cy", F.explode(F.sequence(index(F.col(f"{p}y0")), index(F.col(f"{p}y1")))))
-        a, b, keys = cells(a, "a"), cells(b, "b"), [*keys, "_cx", "_cy"]
+        a, b, keys = cells(a, "a"), cells(b, "b").drop("_cell"), [*keys, "_cx", "_cy"]
     pairs = a.join(b, keys)
-    if cell:
+    if cell is not None:
         pairs = pairs.where((F.col("_cx") == index(F.greatest("ax0", "bx0"))) & (F.col("_cy") == index(F.greatest("ay0", "by0"))))
-    box = lambda p: [F.col(f"{p}{x}") for x in ("x0", "y0", "x1", "y1")]
+    box = lambda p: [F.col(f"{p}{x}") for x in sides]
     return pairs.where(overlap(box("a"), box("b")) > F.lit(float(iou))).select("pair_id", "class_id", "a_seq", "a_conf", "b_seq", "b_conf")
 
 
-def merge(first: DataFrame, second: DataFrame, iou: float = DEFAULT.merge_iou, cell: float | None = None) -> DataFrame:
+def merge(first: DataFrame, second: DataFrame, iou: float = DEFAULT.merge_iou, cell: float | str | None = "auto") -> DataFrame:
     """Detections (pair_id, seq, class_id, confidence, box, GEO, ...) of first and second images, merged.
 
     Each of the second's belongs to the first of the first's, by seq, that it overlaps on the map. It takes

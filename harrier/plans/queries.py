@@ -291,10 +291,9 @@ def palette_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.table(spark, sf_dir, "events").select("event_id", labels.palette_index((F.col("event_id") % 40).cast("int")).alias("colour"))
 
 
-@query(f"{DET} SELECT seq, class_name || ' ' || CAST(floor(confidence * 100 + 0.5) AS INT) || '%' AS label FROM det WHERE (seq * 37) % 10 <> 5")
+@query(f"{DET} SELECT seq, class_name || ' ' || CAST(CAST({sql_round('(confidence * 100)', 0)} AS INT) AS VARCHAR) || '%' AS label FROM det")
 def label_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = fixtures.detections(spark, sf_dir).where("(seq * 37) % 10 <> 5")  # no exact halves, which the engines may round differently
-    return own.select("seq", labels.label_text(F.col("class_name"), F.col("confidence")).alias("label"))
+    return label_text_all(spark, sf_dir)
 
 
 @query()
@@ -315,29 +314,66 @@ def geotiff_name_test(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN CAST(32600 + event_id % 60 AS INT) WHEN event_id % 3 = 1 THEN 4326 END AS epsg FROM events")
 def epsg_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = fixtures.table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, 32600 + F.col("event_id") % 60).alias("p"), F.when(F.col("event_id") % 3 == 1, 4326).alias("g"))
-    return own.select("event_id", F.coalesce("p", "g").cast("int").alias("epsg"))
+    """The reader's choice, of a file for every event: a projected and a geographic code, the second alone, or none."""
+    little = lambda x: F.unhex(F.concat(F.substring(F.lpad(F.hex(x), 4, "0"), 3, 2), F.substring(F.lpad(F.hex(x), 4, "0"), 1, 2)))
+    entry = lambda tag, kind, n, value: struct.pack("<HHII", tag, kind, n, value)
+    tags = [(256, 4, 1, 1), (257, 4, 1, 1), (258, 3, 1, 8), (259, 3, 1, 1), (273, 4, 1, 8), (277, 3, 1, 1), (278, 4, 1, 1), (279, 4, 1, 1), (339, 3, 1, 1)]
+    place = 8 + 2 + 10 * 12 + 4
 
+    def file(codes: list[tuple[int, object]]) -> F.Column:
+        """One pixel, and the geo keys behind the directory."""
+        own = sorted([*tags, (34735, 3, 4 + 4 * len(codes), place)])
+        head = b"II*\0" + struct.pack("<IH", 8, 10) + b"".join(entry(*x) for x in own) + bytes(4) + struct.pack("<4H", 1, 1, 0, len(codes))
+        return F.concat(F.lit(bytearray(head)), *(x for key, code in codes for x in (F.lit(bytearray(struct.pack("<3H", key, 0, 1))), little(code))))
 
-@query()
+    projected, kind = (32600 + F.col("event_id") % 60).cast("int"), F.col("event_id") % 3
+    content = F.when(kind == 0, file([(2048, F.lit(4326)), (3072, projected)])).when(kind == 1, file([(2048, F.lit(4326))])).otherwise(file([]))
+    files = fixtures.table(spark, sf_dir, "events").select(F.col("event_id").cast("long").alias("image_id"), F.lit("x.tif").alias("path"), content.alias("content"))
+    kept = fixtures.table(spark, sf_dir, "events").schema["event_id"].dataType
+    return read_geotiffs(files).select(F.col("image_id").cast(kept).alias("event_id"), F.col("geo.epsg").alias("epsg"))
+
+
+SHOWN = f"{DET}, shown AS (SELECT *, {CORNERS}, row_number() OVER (PARTITION BY image_id ORDER BY seq) - 1 AS i, row_number() OVER (PARTITION BY image_id, class_name ORDER BY seq) - 1 AS j FROM det WHERE confidence >= 0.25::DOUBLE)"
+POINTS = ", ".join(f"{sql_round(f'{x}{i}', 1)} AS {x}{i}" for i in range(4) for x in "xy")
+
+
+@query(f"""{SHOWN} SELECT image_id, 800 AS width, 600 AS height, CAST(i AS INT) AS i, class_name, class_id, {sql_round("confidence", 3)} AS confidence,
+{", ".join(f"{sql_round(x, 1)} AS {x}" for x in ("cx", "cy"))}, {sql_round("width", 1)} AS box_width, {sql_round("height", 1)} AS box_height, {sql_round("angle", 3)} AS angle, {POINTS} FROM shown""")
 def pixel_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, read back from their JSON: a row per detection."""
     own = filters.threshold(fixtures.detections(spark, sf_dir))
     images = own.select("image_id").distinct().withColumns({"width": F.lit(800), "height": F.lit(600)})
-    return export.pixel_json(own, images)
+    box = "struct<cx: double, cy: double, width: double, height: double, angle: double>"
+    shape = f"struct<imageWidth: int, imageHeight: int, detections: array<struct<`class`: string, classId: int, confidence: double, bbox: {box}, corners: array<array<double>>>>>"
+    rows = export.pixel_json(own, images).select("image_id", F.from_json("json", shape).alias("d")).select("image_id", F.col("d.imageWidth").alias("width"), F.col("d.imageHeight").alias("height"), F.posexplode("d.detections").alias("i", "x"))
+    points = [F.col("x.corners")[i][k].alias(f"{c}{i}") for i in range(4) for k, c in enumerate("xy")]
+    return rows.select("image_id", "width", "height", "i", F.col("x.class").alias("class_name"), F.col("x.classId").alias("class_id"), "x.confidence", "x.bbox.cx", "x.bbox.cy", F.col("x.bbox.width").alias("box_width"), F.col("x.bbox.height").alias("box_height"), "x.bbox.angle", *points)
 
 
-@query()
+@query(f"""{SHOWN} SELECT image_id, replace(class_name, ' ', '_') || '.geojson' AS name, 'FeatureCollection' AS kind, CASE WHEN image_id % 2 = 0 THEN 'urn:ogc:def:crs:EPSG::32654' END AS crs,
+CAST(j AS INT) AS i, 'Polygon' AS shape, class_name, class_id, {sql_round("confidence", 3)} AS confidence, CAST(k AS INT) AS k,
+round(500000 + ([x0, x1, x2, x3, x0])[k + 1], 6) AS x, round(4000000 - ([y0, y1, y2, y3, y0])[k + 1], 6) AS y FROM shown, range(5) r(k)""")
 def geojson_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files, read back from their JSON: a row per point of a ring."""
     own = filters.threshold(fixtures.detections(spark, sf_dir))
     geo = own.select("image_id").distinct().withColumns({"tie_x": F.lit(500000.0), "tie_y": F.lit(4000000.0), "scale_x": F.lit(1.0), "scale_y": F.lit(1.0), "epsg": F.when(F.col("image_id") % 2 == 0, 32654).cast("int")})
-    return export.named(export.geojson(own, geo))
+    feature = "struct<properties: struct<`class`: string, classId: int, confidence: double>, geometry: struct<type: string, coordinates: array<array<array<double>>>>>"
+    shape = f"struct<type: string, crs: struct<properties: struct<name: string>>, features: array<{feature}>>"
+    files = export.named(export.geojson(own, geo)).select("image_id", "name", F.from_json("json", shape).alias("d"))
+    rows = files.select("image_id", "name", F.col("d.type").alias("kind"), F.col("d.crs.properties.name").alias("crs"), F.posexplode("d.features").alias("i", "f"))
+    rows = rows.select("image_id", "name", "kind", "crs", "i", F.col("f.geometry.type").alias("shape"), F.col("f.properties.class").alias("class_name"), F.col("f.properties.classId").alias("class_id"), "f.properties.confidence", F.posexplode(F.col("f.geometry.coordinates")[0]).alias("k", "p"))
+    return rows.select(*(c for c in rows.columns if c != "p"), F.round(F.col("p")[0], 6).alias("x"), F.round(F.col("p")[1], 6).alias("y"))
 
 
-@query()
+GREY = "list_aggregate(list_transform(embedding[1:64], lambda v: repeat(lpad(lower(to_hex(CAST(trunc(abs(v) * 255) AS BIGINT) % 256)), 2, '0'), 3)), 'string_agg', '')"
+
+
+@query(f"""SELECT CAST(vec_id AS BIGINT) AS image_id, 8 AS width, 8 AS height, 500000.0::DOUBLE AS tie_x, 4000000.0::DOUBLE AS tie_y, 1.0::DOUBLE AS scale_x, 1.0::DOUBLE AS scale_y,
+CAST(NULL AS INT) AS epsg, sha1(unhex({GREY})) AS pixels, CAST(NULL AS VARCHAR) AS error FROM embeddings""")
 def geotiff_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector as a small file in memory, read back: 8 by 8 floats, with a tie point by its id."""
     files = _files(spark, sf_dir)
-    return read_geotiffs(files).select("image_id", "width", "height", "geo", F.sha1("pixels").alias("pixels"), "error")
+    return read_geotiffs(files).select("image_id", "width", "height", "geo.*", F.sha1("pixels").alias("pixels"), "error")
 
 
 def _files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -48,13 +49,19 @@ def pixel_json(detections: DataFrame, images: DataFrame) -> DataFrame:
     return out.select("image_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("json"))
 
 
-def geojson(detections: DataFrame, geo: DataFrame) -> DataFrame:
+GEO = ("tie_x", "tie_y", "scale_x", "scale_y")
+
+
+def geojson(detections: DataFrame, geo: DataFrame, georeference: str = "image") -> DataFrame:
     """(image_id, class_name, json): a FeatureCollection per image and present class.
 
-    geo: (image_id, tie_x, tie_y, scale_x, scale_y, epsg). Coordinates aren't rounded. The crs member is left out where
+    geo: (image_id, tie_x, tie_y, scale_x, scale_y, epsg). georeference="own" places a detection by the GEO columns that it
+    brings itself, as merged ones do, whose pixel coordinates belong to either image; "image" by those of the image. Coordinates aren't rounded. The crs member is left out where
     there is no EPSG code. Rings run as the corners do, and end where they began.
     """
-    rows = detections.join(geo, "image_id")
+    if georeference not in ("image", "own"):
+        raise ValueError(f"georeference is image or own, not {georeference}")
+    rows = detections.join(geo.drop(*GEO), "image_id") if georeference == "own" else detections.drop(*GEO).join(geo, "image_id")
     ring = geo_ring([to_geo(x, y, "tie_x", "tie_y", "scale_x", "scale_y") for x, y in corner_xy()])
     feature = F.struct(
         F.lit("Feature").alias("type"),
@@ -71,26 +78,30 @@ def named(documents: DataFrame, prefix: str = "") -> DataFrame:
     return documents.select("image_id", F.concat(F.lit(prefix), safe_filename(F.col("class_name")), F.lit(".geojson")).alias("name"), "json")
 
 
-def export(detections: DataFrame, images: DataFrame, merged: bool = False) -> DataFrame:
+def export(detections: DataFrame, images: DataFrame, merged: bool = False, georeference: str = "image") -> DataFrame:
     """(image_id, name, json): GeoJSON per class for georeferenced images, merged_ before the name if merged, and
     detections.json for the others. Images without detections have no file.
 
-    images: (image_id, width, height, geo).
+    images: (image_id, width, height, geo). georeference: see geojson.
     """
     with_geo = images.where("geo is not null").select("image_id", "geo.*")
     plain = images.where("geo is null").join(detections.select("image_id").distinct(), "image_id", "left_semi")
-    maps = named(geojson(detections, with_geo), "merged_" if merged else "")
+    maps = named(geojson(detections, with_geo, georeference), "merged_" if merged else "")
     pixels = pixel_json(detections.join(plain.select("image_id"), "image_id", "left_semi"), plain)
     return maps.unionByName(pixels.select("image_id", F.lit("detections.json").alias("name"), "json"))
 
 
-def write_files(documents: DataFrame, folder: str) -> DataFrame:
-    """Write (image_id, name, json) as <folder>/<image_id>/<name>, by the executors; gives (path, bytes).
+def indented(text: str, by: int = 2) -> str:
+    """JSON over lines, integral numbers without a fraction, as JavaScript writes it."""
+    number = lambda x: int(float(x)) if float(x).is_integer() and abs(float(x)) < 1e21 else float(x)
+    return json.dumps(json.loads(text, parse_float=number), indent=by, ensure_ascii=False)
+
+
+def write_files(documents: DataFrame, folder: str, indent: int | None = 2) -> DataFrame:
+    """Write (image_id, name, json) as <folder>/<image_id>/<name>, by the executors; gives (path, bytes). indent: None for one line.
 
     The folder may be on any file system that pyarrow opens and all executors reach. A file gets its name when it is complete.
     """
-    from collections.abc import Iterator
-
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = pafs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
         for batch in batches:
@@ -98,7 +109,7 @@ def write_files(documents: DataFrame, folder: str) -> DataFrame:
             for image_id, name, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 place = f"{base}/{image_id}"
                 store.create_dir(place, recursive=True)
-                raw = text.encode()
+                raw = (text if indent is None else indented(text, indent)).encode()
                 hidden = f"{place}/_{TaskContext.get().taskAttemptId()}_{name}"
                 with store.open_output_stream(hidden) as file:
                     file.write(raw)

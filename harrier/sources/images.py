@@ -48,10 +48,17 @@ def scan_geotiffs(spark: SparkSession, path: str, mode: str = "FAILFAST") -> Dat
 
 
 def scan_images(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
-    """JPEG, PNG and the like. Spark gives blue, green, red; the table has red, green, blue."""
+    """JPEG, PNG and the like. Spark gives blue, green, red; the table has red, green, blue.
+
+    A broken file has null size and pixels and says so in `error` (PERMISSIVE), or fails whatever is read of it (FAILFAST).
+    """
     own = spark.read.format("image").option("dropInvalid", False).load(path).select("image.*").where(~is_geotiff(F.col("origin")))
     failed = (F.col("height") <= 0) | F.col("data").isNull() | (F.length("data") == 0)
-    error = F.when(failed, F.raise_error(F.concat(F.lit("failed to load image "), F.col("origin"))) if mode == "FAILFAST" else F.lit("failed to load image"))
+    why = F.concat(F.lit("failed to load image "), F.col("origin"))
+
+    def read(value: Column, kind: str) -> Column:
+        """What was read; of a broken file null, or an error whichever of the columns is asked for."""
+        return F.when(failed, F.raise_error(why).cast(kind) if mode == "FAILFAST" else F.lit(None).cast(kind)).otherwise(value)
 
     @F.arrow_udf("binary")
     def rgb(data: pa.Array, channels: pa.Array) -> pa.Array:
@@ -64,13 +71,13 @@ def scan_images(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataF
     return own.select(
         F.xxhash64("origin").alias("image_id"),
         F.col("origin").alias("path"),
-        "width",
-        "height",
+        read(F.col("width"), "int").alias("width"),
+        read(F.col("height"), "int").alias("height"),
         F.lit(False).alias("is_geotiff"),
         F.lit(None).cast(GEO).alias("geo"),
         F.lit(3).alias("channels"),
-        rgb("data", "nChannels").alias("pixels"),
-        error.cast("string").alias("error"),
+        read(rgb("data", "nChannels"), "binary").alias("pixels"),
+        read(F.lit(None).cast("string"), "string").alias("error") if mode == "FAILFAST" else F.when(failed, "failed to load image").alias("error"),
     )
 
 

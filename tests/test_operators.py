@@ -37,16 +37,26 @@ def literal_nms(rows, iou):
     return {r[1] for r in kept}
 
 
-@pytest.mark.parametrize("large", [1, 1000])
-def test_nms_equals_loop(spark, large):
+def test_nms_equals_loop(spark):
     r = random.Random(3)
     rows = [det(i, r.randint(1, 9) / 10, r.uniform(0, 150), r.uniform(0, 150), r.randint(0, 1), r.uniform(10, 60), r.uniform(10, 60), image=r.randint(0, 3)) for i in range(300)]
-    got = suppress.nms(spark.createDataFrame(rows, DET), config=Config(large_group=large))
+    got = suppress.nms(spark.createDataFrame(rows, DET).repartition(3))
     assert {x.seq for x in got.collect()} == literal_nms(rows, 0.45)
     first = got.where("image_id = 0").orderBy("rank").collect()
     assert [x.rank for x in first] == list(range(1, len(first) + 1))
 
 
+def test_nms_over_batches(spark):
+    """Groups that reach over Arrow batches, and a dense one."""
+    r = random.Random(4)
+    rows = [det(i, r.randint(1, 99) / 100, r.uniform(0, 900), r.uniform(0, 900), 0, r.uniform(10, 60), r.uniform(10, 60), image=i % 2) for i in range(1500)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        assert {x.seq for x in suppress.nms(spark.createDataFrame(rows, DET)).collect()} == literal_nms(rows, 0.45)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_nms_chain(spark):
     """A removes B; B would remove C; A and C stay."""
     rows = [det(0, 0.9, 100), det(1, 0.8, 112), det(2, 0.7, 124)]
@@ -108,6 +118,8 @@ def test_merge_equals_loop(spark):
             rest.append(("second", y[1]))
     expected = out + rest
     assert [(o, s) for o, s, _ in merged(spark, a, b)] == expected
+    plain = merge.merge(side(spark, 1, a), side(spark, 2, b), cell=None).orderBy("part", "position").collect()
+    assert [(x.origin, x.seq) for x in plain] == expected
     grid = merge.merge(side(spark, 1, a), side(spark, 2, b), cell=32).orderBy("part", "position").collect()
     assert [(x.origin, x.seq) for x in grid] == expected
 
@@ -167,6 +179,19 @@ def test_geojson_and_files(spark, tmp_path):
     assert json.loads((tmp_path / "0" / "plane.geojson").read_text()) == plane
 
 
+def test_own_georeference(spark):
+    rows = [(*det(0, 0.9), 0.0, 100.0, 1.0, 1.0), (*det(1, 0.9), 50.0, 100.0, 1.0, 1.0)]
+    own = spark.createDataFrame(rows, DET + ", tie_x double, tie_y double, scale_x double, scale_y double")
+    images = spark.createDataFrame([(0, 800, 600, (0.0, 100.0, 1.0, 1.0, 32654))], "image_id long, width int, height int, geo struct<tie_x: double, tie_y: double, scale_x: double, scale_y: double, epsg: int>")
+    left = lambda **o: [f["geometry"]["coordinates"][0][0][0] for f in json.loads(export.export(own, images, **o).first().json)["features"]]
+    assert left() == [80, 80]
+    assert left(georeference="own") == [80, 130]
+
+
+def test_indented_files():
+    assert export.indented('{"a":[1.0,0.5],"b":null}') == '{\n  "a": [\n    1,\n    0.5\n  ],\n  "b": null\n}'
+
+
 def test_counts_and_views(spark):
     rows = spark.createDataFrame([det(0, 0.9, class_id=1), det(1, 0.9), det(2, 0.9, class_id=1)], DET)
     counts = stats.class_counts(rows).orderBy("first_seen").collect()

@@ -85,6 +85,80 @@ def test_defaults_and_clamp():
     assert decode(tiff(np.zeros((1, 2, 2), "u1"), geographic=4326)).epsg == 4326
 
 
+def lzw(data):
+    """Codes as the format wants them: a clear code first and whenever the table is full."""
+    table, bits, width, own = {bytes([i]): i for i in range(256)}, [], 9, b""
+    bits.append(format(256, "09b"))
+    size = 258
+    for byte in data:
+        if own + bytes([byte]) in table:
+            own += bytes([byte])
+            continue
+        bits.append(format(table[own], f"0{width}b"))
+        table[own + bytes([byte])] = size
+        size += 1
+        own = bytes([byte])
+        width = min(12, size.bit_length())
+        if size == 4094:
+            bits.append(format(256, "012b"))
+            table, size, width = {bytes([i]): i for i in range(256)}, 258, 9
+    if own:
+        bits.append(format(table[own], f"0{width}b"))
+        width = min(12, (size + 1).bit_length())
+    bits.append(format(257, f"0{width}b"))
+    text = "".join(bits)
+    return int(text.ljust(-(-len(text) // 8) * 8, "0"), 2).to_bytes(-(-len(text) // 8), "big")
+
+
+def packbits(data):
+    return b"".join(bytes([len(data[i : i + 100]) - 1]) + data[i : i + 100] for i in range(0, len(data), 100)) + bytes([128, 254]) + b"\0"
+
+
+def predicted(bands, kind):
+    """The bytes that a predictor leaves of a picture of one strip, in the file's order."""
+    n, height, width = bands.shape
+    rows = bands.transpose(1, 2, 0)
+    if kind == 2:
+        return np.diff(rows, axis=1, prepend=np.zeros((height, 1, n), bands.dtype)).astype(bands.dtype)
+    size = bands.dtype.itemsize
+    planes = rows.astype(bands.dtype.newbyteorder(">")).copy().view(np.uint8).reshape(height, width * n, size).transpose(0, 2, 1).reshape(height, width * size, n)
+    return np.diff(planes, axis=1, prepend=np.zeros((height, 1, n), np.uint8)).astype(np.uint8)
+
+
+def one_strip(bands, order, block, compression, predictor, big=False):
+    """A file of a single strip that holds `block`."""
+    n, height, width = bands.shape
+    kind = {"u": 1, "i": 2, "f": 3}[bands.dtype.kind]
+    tags = [(256, 3, width), (257, 3, height), (258, 3, bands.dtype.itemsize * 8), (259, 3, compression), (273, 4, 0), (277, 3, n), (278, 3, height), (279, 4, len(block)), (284, 3, 1), (317, 3, predictor), (339, 3, kind)]
+    start = 16 + 8 + 20 * len(tags) + 8 if big else 8 + 2 + 12 * len(tags) + 4
+    out = b""
+    for tag, code, value in tags:
+        value = start if tag == 273 else value
+        raw = struct.pack(f"{order}{'H' if code == 3 else 'I'}", value)
+        out += struct.pack(f"{order}HH{'Q' if big else 'I'}", tag, code, 1) + raw.ljust(8 if big else 4, b"\0")
+    first = b"II" if order == "<" else b"MM"
+    head = first + (struct.pack(f"{order}HHHQQ", 43, 8, 0, 16, len(tags)) if big else struct.pack(f"{order}HIH", 42, 8, len(tags)))
+    return head + out + bytes(8 if big else 4) + block
+
+
+@pytest.mark.parametrize("order", ["<", ">"])
+@pytest.mark.parametrize("big", [False, True])
+@pytest.mark.parametrize("kind", ["u1", "u2", "f4", "f8"])
+@pytest.mark.parametrize("samples", [1, 3])
+def test_compressions_and_predictors(order, big, kind, samples):
+    data = (np.random.default_rng(1).normal(100, 40, (samples, 40, 60)) * (1 if kind[0] == "f" else 1)).astype(kind)
+    plain = data.transpose(1, 2, 0).astype(data.dtype.newbyteorder(order)).tobytes()
+    for compression, pack in ((1, bytes), (5, lzw), (8, zlib.compress), (32773, packbits)):
+        assert (decode(one_strip(data, order, pack(plain), compression, 1, big)).bands == data).all()
+        predictor = 3 if kind[0] == "f" else 2
+        steps = predicted(data, predictor)
+        raw = steps.astype(steps.dtype.newbyteorder(order)).tobytes()
+        assert (decode(one_strip(data, order, pack(raw), compression, predictor, big)).bands == data).all()
+    for compression, predictor in ((7, 1), (1, 4), (1, 2 if kind[0] == "f" else 3)):
+        with pytest.raises(BadTiff):
+            decode(one_strip(data, order, plain, compression, predictor, big))
+
+
 def test_broken_files(spark):
     good = tiff(np.zeros((1, 2, 2), "u1"))
     for raw in (b"", b"II*\0", b"not a tiff file", good[:30]):
@@ -118,6 +192,20 @@ def test_scan(spark, tmp_path):
     assert {r.error for r in scan_images(spark, str(tmp_path), "PERMISSIVE").collect()} == {None, "failed to load image"}
 
 
+def test_broken_images_among_good_ones(spark, tmp_path):
+    pixels = np.zeros((600, 1400, 3), np.uint8)
+    pixels[100:300, 700:900] = 255
+    (tmp_path / "a.png").write_bytes(png(pixels))
+    (tmp_path / "b.jpg").write_bytes(b"\xff\xd8\xff\xe0 broken")
+    rows = {r.path.rsplit("/", 1)[1]: r for r in scan_images(spark, str(tmp_path), "PERMISSIVE").collect()}
+    assert (rows["b.jpg"].width, rows["b.jpg"].height, rows["b.jpg"].pixels) == (None, None, None)
+    found = detection.run(scan(spark, str(tmp_path), "PERMISSIVE"), bright_spots).collect()
+    assert {r.image_id for r in found} == {rows["a.png"].image_id}
+    for column in ("width", "height", "pixels", "error"):
+        with pytest.raises(Exception, match="failed to load image"):
+            scan_images(spark, str(tmp_path)).select("image_id", column).collect()
+
+
 def test_model_input_and_run(spark, tmp_path):
     image = np.zeros((100, 200, 3), np.uint8)
     image[..., 0] = 255
