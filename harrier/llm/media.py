@@ -1,11 +1,14 @@
 """Cropped and edited copies of images by local descriptors.
 
-Corners are found at several scales; each gets an orientation by its intensity centroid and 256 binary
-tests of smoothed brightness, turned by it. The 256 bits are cut into TABLES keys; images that share a key
-meet in a bucket, each with the bucket's hub of this round, and pairs with enough shared keys are compared on all
-descriptors: mutual nearest neighbours in Hamming distance, then the similarity transform that most of
+Corners are found at five scales a third of an octave apart, in number by area; each gets an orientation by its intensity
+centroid and 256 binary tests of smoothed brightness, turned by it. A table's key is KEY_BITS of the 256 bits, drawn once;
+images that share a key meet in a bucket, each with the bucket's hub of this round, and pairs with enough shared keys are
+compared on all descriptors: mutual nearest neighbours in Hamming distance, then the similarity transform that most of
 them agree on. Rounds with other hubs go on until one adds no link. Then all pairs of images that share enough keys
 but no component are compared, so none that the tables bring together is left untried.
+
+Only table entries are shuffled. Descriptors are many times larger, so they aren't stored: they are made again for
+the images of pairs that are compared, which a bitmap of fixed size finds without a shuffle of pixels.
 """
 
 from __future__ import annotations
@@ -17,17 +20,22 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import remove, settle, written
+from .common import remove, settle, slices, written
 from .components import components
 from .exchange import pack, unpack
 from .minhash import mixed
 from .stars import verified
 
-SCALES = (1.0, 1.4142, 2.0)
-#: The corners of a small image; a larger one has one for every so many pixels.
-FEATURES, PIXELS_A_CORNER = 48, 1024
-BITS, TABLES, RADIUS = 256, 8, 12
-MIN_SHARED, MOST_DISTANCE, TOLERANCE, MIN_AGREE = 2, 48, 3.0, 7
+SCALES = tuple(2 ** (k / 3) for k in range(5))
+#: Pixels a corner where a level has no more than FEATURES corners, and beyond.
+FEATURES, DENSE, SPARSE = 160, 36, 256
+BITS, TABLES, KEY_BITS, RADIUS = 256, 3, 80, 10
+#: Of a pair: keys that it shares, bits that matches differ in, pixels that they may be off, matches that agree, and their share of all.
+MIN_SHARED, MOST_DISTANCE, TOLERANCE, MIN_AGREE, LEAST_SHARE = 2, 48, 3.0, 8, 0.2
+#: Other matches that a match is tried with for a transform, and pixels that they are apart at least.
+PARTNERS, APART = 16, 8.0
+#: Places of the bitmap of images whose descriptors are wanted; more images than that only make it less sharp.
+PLACES = 1 << 20
 FEATURE = np.dtype([("x", "f4"), ("y", "f4"), ("bits", "u8", (BITS // 64,))])
 ENTRY = np.dtype([("bits", "u4"), ("nid", "i8")])
 #: Table entries that a task holds before it sends them, and that a part has about.
@@ -47,6 +55,7 @@ def _tests() -> np.ndarray:
 
 
 TESTS = _tests()
+CHOSEN = [np.sort(np.random.default_rng(100 + t).choice(BITS, KEY_BITS, replace=False)) for t in range(TABLES)]
 
 
 def _blur(x: np.ndarray) -> np.ndarray:
@@ -71,15 +80,15 @@ def _shrunk(x: np.ndarray, scale: float) -> np.ndarray:
     return top * (1 - fy) + low * fy
 
 
-def features(image: np.ndarray, most: int | None = None) -> np.ndarray:
+def features(image: np.ndarray) -> np.ndarray:
     """The strongest corners of a grey image with their descriptors; none of an image too small or flat."""
-    most = max(FEATURES, image.size // PIXELS_A_CORNER) if most is None else most
-    image, edge, found = image.astype(np.float64), RADIUS + 3, []
+    image, edge, found = image.astype(np.float64), RADIUS + 2, []
     for scale in SCALES:
         level = _shrunk(image, scale)
         if min(level.shape) <= 2 * edge + 2:
             break
-        gy, gx = np.gradient(level)
+        smooth = _blur(level)
+        gy, gx = np.gradient(smooth)
         a, b, c = _blur(gx * gx), _blur(gy * gy), _blur(gx * gy)
         response = a * b - c * c - 0.05 * (a + b) ** 2
         inner = response[edge:-edge, edge:-edge]
@@ -90,13 +99,12 @@ def features(image: np.ndarray, most: int | None = None) -> np.ndarray:
                     other = response[edge + dy : response.shape[0] - edge + dy, edge + dx : response.shape[1] - edge + dx]
                     top &= (inner > other) if (dy, dx) < (0, 0) else (inner >= other)
         ys, xs = np.nonzero(top & (inner > 1e-3))
-        order = np.lexsort((xs, ys, -inner[ys, xs]))[: most // len(SCALES)]
+        order = np.lexsort((xs, ys, -inner[ys, xs]))[: max(4, inner.size // SPARSE, min(inner.size // DENSE, FEATURES))]
         ys, xs = ys[order] + edge, xs[order] + edge
         if not len(ys):
             continue
-        smooth = _blur(level)
-        d = np.arange(-7, 8)
-        disc = (d[:, None] ** 2 + d[None, :] ** 2) <= 49
+        d = np.arange(1 - RADIUS, RADIUS)
+        disc = (d[:, None] ** 2 + d[None, :] ** 2) <= (RADIUS - 1) ** 2
         patch = smooth[ys[:, None, None] + d[:, None], xs[:, None, None] + d[None, :]] * disc
         angle = np.arctan2((patch * d[:, None]).sum(axis=(1, 2)), (patch * d[None, :]).sum(axis=(1, 2)))
         cos, sin = np.cos(angle)[:, None, None], np.sin(angle)[:, None, None]
@@ -111,9 +119,17 @@ def features(image: np.ndarray, most: int | None = None) -> np.ndarray:
 
 
 def keys(own: np.ndarray) -> np.ndarray:
-    """The distinct table keys of an image's descriptors: the table in the upper half, its bits in the lower."""
-    parts = np.ascontiguousarray(own["bits"]).view(np.uint32).reshape(len(own), TABLES).astype(np.int64)
-    return np.unique(parts + (np.arange(TABLES, dtype=np.int64) << 32))
+    """The distinct table keys of an image's descriptors: the table in the upper half, a digest of its bits in the lower."""
+    bits = np.unpackbits(np.ascontiguousarray(own["bits"]).view(np.uint8).reshape(len(own), BITS // 8), axis=1)
+    parts = []
+    for chosen in CHOSEN:
+        raw = np.packbits(bits[:, chosen], axis=1)
+        words = np.ascontiguousarray(np.pad(raw, ((0, 0), (0, -raw.shape[1] % 8)))).view(np.uint64)
+        digest = np.zeros(len(own), np.uint64)
+        for k in range(words.shape[1]):
+            digest = mixed(digest ^ words[:, k])
+        parts.append(digest >> np.uint64(32))
+    return np.unique(np.concatenate([x.astype(np.int64) + (t << 32) for t, x in enumerate(parts)])) if len(own) else np.empty(0, np.int64)
 
 
 def same_image(x: np.ndarray, y: np.ndarray) -> bool:
@@ -126,17 +142,19 @@ def same_image(x: np.ndarray, y: np.ndarray) -> bool:
     if len(i) < MIN_AGREE:
         return False
     a, b = x[i], y[to[i]]
-    # each two matches give a transform as complex numbers: b = turn * a + shift
+    # each two matches give a transform as complex numbers: b = turn * a + shift; every match is tried with several others
     p, q = a["x"] + 1j * a["y"], b["x"] + 1j * b["y"]
-    for k in range(0, len(p), ROWS):
-        own, to_own = p[k : k + ROWS], q[k : k + ROWS]
-        far = np.abs(own[:, None] - p[None, :])
-        j = far.argmax(axis=1)
-        turn = (q[j] - to_own) / np.where(far.max(axis=1) > 0, p[j] - own, 1)
-        votes = (np.abs((turn[:, None] * (p[None, :] - own[:, None]) + to_own[:, None]) - q[None, :]) < TOLERANCE).sum(axis=1)
-        good = (np.abs(turn) > 0.3) & (np.abs(turn) < 3.3)
-        if good.any() and votes[good].max() >= MIN_AGREE:
-            return True
+    n, least = len(p), max(MIN_AGREE, LEAST_SHARE * len(p))
+    for k in range(1, min(PARTNERS, n - 1) + 1):
+        j = (np.arange(n) + max(1, k * n // (PARTNERS + 1))) % n
+        apart = np.abs(p[j] - p)
+        turn = (q[j] - q) / np.where(apart > 0, p[j] - p, 1)
+        good = np.flatnonzero((apart > APART) & (np.abs(turn) > 0.3) & (np.abs(turn) < 3.3))
+        for at in range(0, len(good), ROWS):
+            g = good[at : at + ROWS]
+            votes = (np.abs(turn[g, None] * (p[None, :] - p[g, None]) + q[g, None] - q[None, :]) < TOLERANCE).sum(axis=1)
+            if votes.max() >= least:
+                return True
     return False
 
 
@@ -147,50 +165,73 @@ def grey(data: bytes, width: int, height: int, channels: int) -> np.ndarray | No
     return np.frombuffer(data, np.uint8).reshape(height, width, channels)[..., :3].mean(axis=2)
 
 
-def described(images: DataFrame) -> DataFrame:
-    """(image_id, node, data, width, height, channels) -> (image_id, node, n_features, item)."""
+def _features_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """Of each row (..., data, width, height, channels)."""
+    for i in range(batch.num_rows):
+        image = grey(*(batch.column(c)[i].as_py() for c in ("data", "width", "height", "channels")))
+        yield features(image) if image is not None else np.empty(0, FEATURE)
+
+
+def described(images: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(nid, data, width, height, channels) -> (nid, item): the descriptors of the images in `wanted` (nid).
+
+    The places of the wanted ones in a bitmap of PLACES come to the driver and go to the workers, so the bound is fixed; an image
+    that only shares a place is described too and joined away.
+    """
+    place = lambda nid: F.pmod(F.xxhash64(nid), F.lit(PLACES)).cast("int")
+    bitmap = np.zeros(PLACES, bool)
+    bitmap[[r[0] for r in wanted.select(place("nid")).distinct().collect()]] = True
+    packed = np.packbits(bitmap).tobytes()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, item = [], []
-            for data, *shape in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
-                image = grey(data, *shape)
-                own = features(image) if image is not None else np.empty(0, FEATURE)
-                n.append(len(own)), item.append(own.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(item, pa.binary())], ["image_id", "node", "n_features", "item"])
+        asked = np.unpackbits(np.frombuffer(packed, np.uint8)).view(bool)
+        for batch in slices(batches):
+            batch = batch.filter(pa.array(asked[batch.column("place").to_numpy()]))
+            item = [x.tobytes() for x in _features_of(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("nid"), pa.array(item, pa.binary())], ["nid", "item"])
 
-    kind = images.schema["image_id"].dataType.simpleString()
-    return images.select("image_id", "node", "data", "width", "height", "channels").mapInArrow(work, f"image_id {kind}, node binary, n_features long, item binary")
+    found = images.withColumn("place", place("nid")).mapInArrow(work, "nid long, item binary")
+    return found.join(wanted, "nid").groupBy("nid").agg(F.first("item").alias("item"))
 
 
-def shared_keys(nodes: DataFrame, entries: int) -> DataFrame:
-    """(nid, item) -> (key, nid), a row per distinct key of an image that another image has too.
+def shared_keys(images: DataFrame, entries: int) -> DataFrame:
+    """(nid, data, width, height, channels) -> (key, nid, n): a row per distinct key of an image that another image has too, and
+    a row without a key per image, with its number of corners.
 
-    The entries are dealt by key in packed blocks, and only shared ones become rows. entries: about how many there are.
+    The entries are dealt by key in packed blocks, each image once a block however often its rows come, and only
+    shared ones become rows. entries: about how many there are.
     """
-    per = -(-max(entries // ENTRIES_A_PART, int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))) // TABLES)
+    per = -(-max(entries // ENTRIES_A_PART, int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))) // TABLES)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, int]] = []
+        held: dict[int, np.ndarray] = {}
+        corners: list[int] = []
 
         def flush() -> pa.RecordBatch:
-            key = np.concatenate([x for x, _ in held])
+            key = np.concatenate(list(held.values()))
             rows = np.empty(len(key), ENTRY)
-            rows["bits"], rows["nid"] = key & 0xFFFFFFFF, np.repeat([n for _, n in held], [len(x) for x, _ in held])
+            rows["bits"], rows["nid"] = key & 0xFFFFFFFF, np.repeat(list(held), [len(x) for x in held.values()])
             part = (key >> 32) * per + (mixed(rows["bits"].astype(np.uint64)) % np.uint64(per)).astype(np.int64)
             order = np.lexsort((rows["nid"], part))
             rows, part = rows[order], part[order]
             cut = np.flatnonzero(np.diff(part)) + 1
-            blocks = [pack(x) for x in np.split(rows, cut)]
-            held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(part[[0, *cut]], pa.int32()), pa.array(blocks, pa.binary())], ["part", "block"])
+            blocks = [pack(x) for x in np.split(rows, cut)] if len(rows) else []
+            parts = part[[0, *cut]].tolist() if len(rows) else []
+            counts = np.array(list(zip(corners, held, strict=True)), ENTRY)  # in a part for itself
+            blocks.append(pack(counts))
+            parts.append(TABLES * per + int(counts["nid"][0] % per))
+            held.clear(), corners.clear()
+            return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blocks, pa.binary())], ["part", "block"])
 
         size = 0
-        for batch in batches:
-            for nid, raw in zip(batch.column("nid").to_pylist(), batch.column("item").to_pylist(), strict=True):
-                if raw:
-                    held.append((keys(np.frombuffer(raw, FEATURE)), nid))
-                    size += len(held[-1][0])
+        for batch in slices(batches):
+            new = np.array([n not in held for n in batch.column("nid").to_pylist()], bool)
+            batch = batch.filter(pa.array(new))
+            for nid, own in zip(batch.column("nid").to_pylist(), _features_of(batch), strict=True):
+                if nid not in held:
+                    held[nid] = keys(own)
+                    corners.append(len(own))
+                    size += len(held[nid])
                 if size >= HELD:
                     yield flush()
                     size = 0
@@ -199,13 +240,15 @@ def shared_keys(nodes: DataFrame, entries: int) -> DataFrame:
 
     def meet(group: pa.Table) -> pa.Table:
         rows = np.concatenate([unpack(x, ENTRY) for x in group.column("block").to_pylist()])
-        rows = rows[np.argsort(rows["bits"], kind="stable")]
+        rows = np.unique(rows)  # by key, then image
+        if group.column("part")[0].as_py() >= TABLES * per:
+            return pa.table([pa.nulls(len(rows), pa.int64()), pa.array(np.ascontiguousarray(rows["nid"])), pa.array(rows["bits"].astype(np.int64))], ["key", "nid", "n"])
         same = rows["bits"][1:] == rows["bits"][:-1]
         rows = rows[np.append(same, False) | np.append(False, same)]
         key = rows["bits"].astype(np.int64) + ((group.column("part")[0].as_py() // per) << 32)
-        return pa.table([pa.array(key, pa.int64()), pa.array(np.ascontiguousarray(rows["nid"]), pa.int64())], ["key", "nid"])
+        return pa.table([pa.array(key, pa.int64()), pa.array(np.ascontiguousarray(rows["nid"]), pa.int64()), pa.nulls(len(rows), pa.int64())], ["key", "nid", "n"])
 
-    return nodes.select("nid", "item").mapInArrow(send, "part int, block binary").groupBy("part").applyInArrow(meet, "key long, nid long")
+    return images.mapInArrow(send, "part int, block binary").groupBy("part").applyInArrow(meet, "key long, nid long, n long")
 
 
 def _as_binary(nid: str) -> Column:
@@ -251,27 +294,31 @@ def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
     """(image_id, n_features, component_id, kept) of images (id, data, width, height, channels), a row per row.
 
     Rows of equal data and size are one node, so exact copies cost nothing more. Null, empty or
-    misshapen data has no features and stands alone unless equal to others. A null id is a component's id only if
-    all are null. Other columns aren't read.
+    misshapen data has no corners and stands alone unless equal to others. A null id is a component's id only if
+    all are null. Other columns aren't read. Images are read once for their digests, once for their keys, and once
+    for each round of comparisons.
     """
     rows = images.select(F.col(f"`{id_col}`").alias("image_id"), "data", "width", "height", "channels")
     digest = F.unhex(F.md5(F.concat(F.coalesce("data", F.lit(b"")), F.concat_ws(",", F.col("data").isNull().cast("string"), *(F.col(x).cast("string") for x in ("width", "height", "channels"))).cast("binary"))))
-    rows = rows.withColumn("node", digest)
-    # pixels stay where they are read; only features move
-    every, every_path = written(described(rows), "features")
-    slim = settle(every.select("image_id", "node", "n_features"))
-    nodes = every.groupBy("node").agg(F.first("item").alias("item"))
-    nodes, path = written(nodes.withColumn("nid", F.monotonically_increasing_id()), "images")
-    remove(images.sparkSession, every_path)
-
-    entries = TABLES * (slim.agg(F.sum("n_features")).first()[0] or 0)
-    buckets, buckets_path = written(shared_keys(nodes, entries), "buckets")
-    items = nodes.select(_as_binary("nid").alias("node"), "item")
+    # 64 bits stand for a node where candidates are sought; images that agree in them but not in all would be compared as one
+    rows = rows.withColumn("node", digest).withColumn("nid", F.xxhash64("node"))
+    slim, slim_path = written(rows.select("image_id", "node", "nid", (F.col("width") * F.col("height")).cast("long").alias("area")), "images")
+    pixels = rows.select("nid", "data", "width", "height", "channels")
+
+    # about: five levels hold 2.4 times an image's area
+    corners = F.sum(2.4 * F.greatest(F.col("area") / SPARSE, F.least(F.col("area") / DENSE, F.lit(float(FEATURES)))))
+    entries = int(TABLES * (slim.agg(corners).first()[0] or 0))
+    found, buckets_path = written(shared_keys(pixels, entries), "buckets")
+    buckets, counts = found.where("key is not null").select("key", "nid"), found.where("key is null").groupBy("nid").agg(F.max("n").alias("n_features"))
     load = lambda raw: np.frombuffer(raw, FEATURE)
 
     def compared(pairs: DataFrame) -> DataFrame:
+        wanted = pairs.select(F.explode(F.array("x", "hub")).alias("nid")).distinct()
+        items, path = written(described(pixels, wanted).select(_as_binary("nid").alias("node"), "item"), "items")
         more = verified(pairs.select(_as_binary("x").alias("x"), _as_binary("hub").alias("hub")), items, load, same_image)
-        return settle(more.select(*(F.conv(F.hex(c), 16, 10).cast("long").alias(c) for c in ("a", "b"))))
+        more = settle(more.select(*(F.conv(F.hex(c), 16, -10).cast("long").alias(c) for c in ("a", "b"))))
+        remove(images.sparkSession, path)
+        return more
 
     links, label, tried, turn = None, None, None, 0
     while True:
@@ -300,13 +347,11 @@ def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
             links = more if links is None else settle(links.unionByName(more))
             label = components(links)
     remove(images.sparkSession, rest_path)
-    if label is not None:
-        label = label.withColumnRenamed("node", "nid").join(nodes.select("node", "nid"), "nid").select("node", _as_binary("label").alias("label"))
-    least = slim.groupBy("node").agg(F.min("image_id").alias("image_id"))
-    least = least.withColumn("label", F.col("node")) if label is None else least.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least = least.join(least.groupBy("label").agg(F.min("image_id").alias("component_id")), "label").select("node", "component_id")
-    least = settle(least)
-    for p in (path, buckets_path):
+    least = slim.groupBy("nid").agg(F.min("image_id").alias("image_id"))
+    least = least.withColumn("label", F.col("nid")) if label is None else least.join(label.withColumnRenamed("node", "nid"), "nid", "left").withColumn("label", F.coalesce("label", "nid"))
+    least = least.join(least.groupBy("label").agg(F.min("image_id").alias("component_id")), "label").select("nid", "component_id")
+    least = least.join(counts, "nid", "left").withColumn("n_features", F.coalesce("n_features", F.lit(0).cast("long")))
+    out, _ = written(slim.join(least, "nid").select("image_id", "n_features", "component_id", F.col("image_id").eqNullSafe(F.col("component_id")).alias("kept")), "copies")
+    for p in (slim_path, buckets_path):
         remove(images.sparkSession, p)
-    out = slim.join(least, "node")
-    return out.select("image_id", "n_features", "component_id", F.col("image_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    return out

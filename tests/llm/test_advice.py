@@ -79,7 +79,7 @@ def test_copies_beside_an_unrelated_hub(spark, monkeypatch):
     """Images in one bucket by keys that all share: the hub of every round is unrelated to most."""
     monkeypatch.setattr(media, "BLOCK", 3)
     monkeypatch.setattr(media, "PAIRS_A_SLICE", 40)
-    monkeypatch.setattr(media, "shared_keys", lambda nodes, entries: nodes.select(F.explode(F.sequence(F.lit(1), F.lit(media.MIN_SHARED)).cast("array<long>")).alias("key"), "nid"))
+    monkeypatch.setattr(media, "shared_keys", lambda nodes, entries: nodes.select(F.explode(F.sequence(F.lit(1), F.lit(media.MIN_SHARED)).cast("array<long>")).alias("key"), "nid", F.lit(None).cast("long").alias("n")))
     images = [media_fixture.render(bytes([i, 5])) for i in range(12)]
     rows = [image_row(i, x) for i, x in enumerate(images)] + [image_row(100 + i, media_fixture.edited(images[i], i)) for i in range(12)]
     got = {r.image_id: r.component_id for r in media.image_copies(spark.createDataFrame(rows, IMAGES)).collect()}
