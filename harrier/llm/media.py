@@ -29,7 +29,7 @@ from .stars import verified
 SCALES = tuple(2 ** (k / 3) for k in range(5))
 #: Pixels a corner where a level has no more than FEATURES corners, and beyond.
 FEATURES, DENSE, SPARSE = 160, 36, 256
-BITS, TABLES, KEY_BITS, RADIUS = 256, 3, 80, 10
+BITS, TABLES, KEY_BITS, RADIUS = 256, 3, 68, 10
 #: Of a pair: keys that it shares, bits that matches differ in, pixels that they may be off, matches that agree, and their share of all.
 MIN_SHARED, MOST_DISTANCE, TOLERANCE, MIN_AGREE, LEAST_SHARE = 2, 48, 3.0, 8, 0.2
 #: Other matches that a match is tried with for a transform, and pixels that they are apart at least.
@@ -55,7 +55,8 @@ def _tests() -> np.ndarray:
 
 
 TESTS = _tests()
-CHOSEN = [np.sort(np.random.default_rng(100 + t).choice(BITS, KEY_BITS, replace=False)) for t in range(TABLES)]
+#: The bits of each table's key, drawn once, no bit in two tables.
+CHOSEN = np.random.default_rng(100).permutation(BITS)[: TABLES * KEY_BITS].reshape(TABLES, KEY_BITS)
 
 
 def _blur(x: np.ndarray) -> np.ndarray:
