@@ -16,17 +16,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, NullType
 
 from .common import raws, slices  # noqa: F401
 
-RECORD = np.dtype([("name", "u8"), ("ctx", "u8"), ("rank", "i8"), ("dkey", "i8"), ("a", "i4"), ("m", "u2"), ("f", "u1")])
-ANSWER = np.dtype([("dkey", "i8"), ("name", "u8"), ("a", "i4"), ("m", "u2"), ("f", "u1")])
+RECORD = np.dtype([("name", "u8"), ("ctx", "u8"), ("rank", "i8"), ("dkey", "i8"), ("more", "i8"), ("a", "i4"), ("m", "u2"), ("f", "u1")])
+ANSWER = np.dtype([("dkey", "i8"), ("more", "i8"), ("name", "u8"), ("a", "i4"), ("m", "u2"), ("f", "u1")])
 REPEATED, SEVERAL = 1, 2
 COVERED, DETAIL = 1, 2
-#: Records that a task holds before it settles and sends them.
-BLOCK = 1_000_000
+#: Records that a task holds before it settles and sends them, and bytes of text whose records one part has, about.
+BLOCK, PART_BYTES = 500_000, 16 << 20
 LAST = np.iinfo(np.int64).max
 
 
@@ -53,7 +54,7 @@ def settle_records(records: np.ndarray, smaller: bool) -> tuple[np.ndarray, np.n
     """
     if not len(records):
         return np.empty(0, ANSWER), records
-    r = records[np.lexsort((records["a"], records["dkey"], records["rank"], records["ctx"], records["name"]))]
+    r = records[np.lexsort((records["a"], records["more"], records["dkey"], records["rank"], records["ctx"], records["name"]))]
     n = len(r)
     first = np.ones(n, bool)
     first[1:] = r["name"][1:] != r["name"][:-1]
@@ -76,7 +77,7 @@ def settle_records(records: np.ndarray, smaller: bool) -> tuple[np.ndarray, np.n
     # what was sent as one of several had its answer where it came from
     hit = (covered | detail) & ((r["f"] & SEVERAL) == 0)
     answers = np.empty(int(hit.sum()), ANSWER)
-    for x in ("dkey", "name", "a", "m"):
+    for x in ("dkey", "more", "name", "a", "m"):
         answers[x] = r[x][hit]
     answers["f"] = (COVERED * covered + DETAIL * detail)[hit]
     out = r[sent]
@@ -87,7 +88,7 @@ def settle_records(records: np.ndarray, smaller: bool) -> tuple[np.ndarray, np.n
 def _deal(rows: np.ndarray, by: str, parts: int) -> Iterator[tuple[int, bytes]]:
     """Blocks of rows by part, in order of document within each, so that they pack well."""
     part = ((rows[by].astype("u8") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(parts)
-    order = np.lexsort((rows["a"], rows["dkey"], part))
+    order = np.lexsort((rows["a"], rows["more"], rows["dkey"], part))
     rows, part = rows[order], part[order]
     cut = np.flatnonzero(np.diff(part)) + 1
     for x, at in zip(np.split(rows, cut), [0, *cut], strict=True):
@@ -99,13 +100,25 @@ def _table(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int32()), pa.array([x[1] for x in rows], pa.int32()), pa.array([x[2] for x in rows], pa.binary())], ["part", "kind", "block"])
 
 
-def decide(docs: DataFrame, extract: Callable[[pa.RecordBatch], Iterator[np.ndarray]], smaller: bool) -> DataFrame:
+def halves(keys: pa.Array) -> np.ndarray:
+    """Keys of 16 bytes, or numbers, as (n, 2) 64-bit numbers."""
+    if pa.types.is_integer(keys.type):
+        return np.stack([keys.to_numpy(), np.zeros(len(keys), np.int64)], axis=1)
+    return np.frombuffer(b"".join(keys.to_pylist()), "<i8").reshape(-1, 2)
+
+
+def parts_of(docs: DataFrame) -> int:
+    """In how many parts the records of these texts meet: by their bytes, so that a part fits a task at any size."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+
+
+def decide(docs: DataFrame, extract: Callable[[pa.RecordBatch], Iterator[np.ndarray]], smaller: bool, parts: int) -> DataFrame:
     """(dkey, answers): the packed answers of every document that has any, each in one row.
 
     extract gives the records of a batch of rows, piece by piece. A task holds BLOCK records, or
-    the records of its share of the names.
+    the records of its share of the names, one of `parts`.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -136,21 +149,33 @@ def decide(docs: DataFrame, extract: Callable[[pa.RecordBatch], Iterator[np.ndar
 
     def gather(group: pa.Table) -> pa.Table:
         rows = np.concatenate([unpack(x, ANSWER) for x in group.column("block").to_pylist()])
-        rows = rows[np.lexsort((rows["a"], rows["dkey"]))]
-        cut = np.flatnonzero(np.diff(rows["dkey"])) + 1
+        rows = rows[np.lexsort((rows["a"], rows["more"], rows["dkey"]))]
+        cut = np.flatnonzero((rows["dkey"][1:] != rows["dkey"][:-1]) | (rows["more"][1:] != rows["more"][:-1])) + 1
         pieces = np.split(rows, cut)
-        return pa.table([pa.array([int(x["dkey"][0]) for x in pieces], pa.int64()), pa.array([pack(x) for x in pieces], pa.binary())], ["dkey", "answers"])
+        return pa.table([pa.array([key_of(x[0]) for x in pieces], pa.binary()), pa.array([pack(x) for x in pieces], pa.binary())], ["dkey", "answers"])
 
     shape = "part int, kind int, block binary"
     met = docs.mapInArrow(send, shape).groupBy("part").applyInArrow(meet, shape)
-    return met.groupBy("part").applyInArrow(gather, "dkey long, answers binary")
+    return met.groupBy("part").applyInArrow(gather, "dkey binary, answers binary")
+
+
+def key_of(row: np.void) -> bytes:
+    return np.array([row["dkey"], row["more"]], "<i8").tobytes()
+
+
+def document_key(doc_id: Column, text: Column) -> Column:
+    """16 bytes: rows alike in id and text share a key."""
+    part = lambda seed: F.unhex(F.lpad(F.hex(F.xxhash64(F.lit(seed), doc_id.isNull(), doc_id, text.isNull(), text)), 16, "0"))
+    return F.concat(part(11), part(12))
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, dkey, rank, text): rows alike in id and text share a key; a null id ranks last."""
+    """(doc_id, dkey, rank, text). Ids are integers, as smaller ones are asked for; a null id ranks last."""
+    kind = docs.select(F.col(f"`{id_col}`")).schema[0].dataType
+    if not isinstance(kind, (IntegralType, NullType)):
+        raise TypeError(f"{id_col} must be an integer to be compared, not {kind.simpleString()}")
     out = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    key = F.xxhash64(F.lit(11), F.col("doc_id").isNull(), "doc_id", "text")
-    return out.select("doc_id", key.alias("dkey"), F.coalesce(F.col("doc_id").try_cast("long"), F.lit(LAST)).alias("rank"), "text")
+    return out.select("doc_id", document_key(F.col("doc_id"), F.col("text")).alias("dkey"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("rank"), "text")
 
 
 def mask(n: int, answers: np.ndarray, width: int) -> np.ndarray:

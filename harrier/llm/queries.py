@@ -33,7 +33,7 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recompress.dedup_words(table(spark, sf_dir, "documents")).drop("kept_text")
+    return recompress.dedup_words(table(spark, sf_dir, "documents"), with_text=False)
 
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:

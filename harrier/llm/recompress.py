@@ -19,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
-from .exchange import ANSWER, DETAIL, RECORD, decide, keyed, mask, raws, unpack
+from .common import remove, slices, written
+from .exchange import ANSWER, DETAIL, RECORD, decide, halves, keyed, mask, parts_of, raws, unpack
 from .minhash import WordHashes, mixed
 
 WINDOW, ROUNDS = 13, 2
@@ -158,7 +158,7 @@ def _pieces(batch: pa.RecordBatch, known: WordHashes, window: int) -> Iterator[t
 def range_records(batch: pa.RecordBatch, window: int = WINDOW, known: WordHashes | None = None) -> Iterator[np.ndarray]:
     """The records of a batch (dkey, rank, text): a run of windows that share an anchor each."""
     known = WordHashes() if known is None else known
-    dkey, rank = batch.column("dkey").to_numpy(), batch.column("rank").to_numpy()
+    dkey, rank = halves(batch.column("dkey")), batch.column("rank").to_numpy()
     for names, ok, spots in _pieces(batch, known, window):
         low, high = anchors(names, ok, window)
         new = np.ones(len(ok), bool)
@@ -173,7 +173,7 @@ def range_records(batch: pa.RecordBatch, window: int = WINDOW, known: WordHashes
         first = np.array([x[1] for x in spots])
         spot = np.searchsorted(first, head, "right") - 1
         row = np.array([x[0] for x in spots])[spot]
-        out["dkey"], out["rank"] = dkey[row], rank[row]
+        out["dkey"], out["more"], out["rank"] = dkey[row, 0], dkey[row, 1], rank[row]
         out["a"], out["m"], out["f"] = head - first[spot] + np.array([x[3] for x in spots])[spot], tail - head, 0
         yield out
 
@@ -181,7 +181,7 @@ def range_records(batch: pa.RecordBatch, window: int = WINDOW, known: WordHashes
 def window_records(batch: pa.RecordBatch, window: int = WINDOW, known: WordHashes | None = None) -> Iterator[np.ndarray]:
     """A record for each single window of the ranges in `answers` that need detail, under two fingerprints."""
     known = WordHashes() if known is None else known
-    for dkey, rank, raw, packed in zip(batch.column("dkey").to_pylist(), batch.column("rank").to_pylist(), raws(batch.column("text")), batch.column("answers").to_pylist(), strict=True):
+    for rank, raw, packed in zip(batch.column("rank").to_pylist(), raws(batch.column("text")), batch.column("answers").to_pylist(), strict=True):
         own = unpack(packed, ANSWER)
         own = own[(own["f"] & DETAIL) > 0]
         if not len(own):
@@ -191,7 +191,7 @@ def window_records(batch: pa.RecordBatch, window: int = WINDOW, known: WordHashe
         start = np.unique(np.concatenate([np.arange(a, a + m) for a, m in zip(own["a"].tolist(), own["m"].tolist(), strict=True)]))
         out = np.empty(len(start), RECORD)
         out["name"], out["ctx"] = Prefix(h).of(start, start + window), Prefix(h, 12345).of(start, start + window)
-        out["dkey"], out["rank"], out["a"], out["m"], out["f"] = dkey, rank, start, 1, 0
+        out["dkey"], out["more"], out["rank"], out["a"], out["m"], out["f"] = own["dkey"][0], own["more"][0], rank, start, 1, 0
         yield out
 
 
@@ -207,8 +207,9 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW) -> tuple[DataFrame, l
         return window_records(batch, window, known.setdefault("words", WordHashes()))
 
     rows = docs.select("dkey", "rank", "text")
-    first, path = written(decide(rows, ranges, True), "ranges")
-    second, path2 = written(decide(rows.join(first, "dkey"), windows, True), "windows")
+    parts = parts_of(rows)
+    first, path = written(decide(rows, ranges, True, parts), "ranges")
+    second, path2 = written(decide(rows.join(first, "dkey"), windows, True, parts), "windows")
     return first.unionByName(second), [path, path2]
 
 
@@ -217,15 +218,15 @@ def joined(docs: DataFrame, ranges: DataFrame) -> DataFrame:
     return docs.join(ranges.groupBy("dkey").agg(F.collect_list("answers").alias("all")), "dkey", "left")
 
 
-def dedup_words(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_words, n_removed, kept_sha256, kept_text): words under a window of `window` words that also
+def dedup_words(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_sha256, and kept_text unless with_text is false): words under a window of `window` words that also
     starts in a document of smaller id are removed; the others are joined by one space.
 
-    Ids are integers. Rows of equal id don't remove from each other; a null id is larger than
+    Ids are integers; others raise an error. Rows of equal id don't remove from each other; a null id is larger than
     all. Null, empty and short texts lose nothing. Only the id and text columns are read.
     """
     rows = keyed(docs, id_col, text_col)
-    ranges, _ = repeated_ranges(rows, window)
+    ranges, paths = repeated_ranges(rows, window)
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,4 +242,8 @@ def dedup_words(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", t
                 got.append((n, n - len(kept), hashlib.sha256(text).hexdigest(), text))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([x[i] for x in got], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.string())))] + [pa.array([x[3] for x in got], pa.binary()).cast(pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
-    return joined(rows, ranges).select("doc_id", "text", "all").mapInArrow(work, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    found = joined(rows, ranges).select("doc_id", "text", "all").mapInArrow(work, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    out, _ = written(found if with_text else found.drop("kept_text"), "kept")
+    for path in paths:
+        remove(docs.sparkSession, path)
+    return out

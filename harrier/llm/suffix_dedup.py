@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fresh, remove, slices, written
-from .exchange import ANSWER, COVERED, DETAIL, RECORD, decide, keyed, mask, pack, raws, unpack
+from .exchange import ANSWER, COVERED, DETAIL, RECORD, decide, document_key, halves, keyed, mask, pack, parts_of, raws, unpack
 from .minhash import mixed
 from .recompress import Prefix, joined
 
@@ -54,7 +54,7 @@ def _slide_min(x: np.ndarray, w: int) -> np.ndarray:
 def range_records(batch: pa.RecordBatch, width: int = WIDTH, k: int = K) -> Iterator[np.ndarray]:
     """The records of a batch (dkey, rank, text): a run of windows that share an anchor each."""
     held, size, spots = [], 0, []
-    dkeys, ranks = batch.column("dkey").to_pylist(), batch.column("rank").to_pylist()
+    dkeys, ranks = halves(batch.column("dkey")), batch.column("rank").to_numpy()
 
     def out() -> np.ndarray:
         text = b"".join(held)
@@ -78,7 +78,7 @@ def range_records(batch: pa.RecordBatch, width: int = WIDTH, k: int = K) -> Iter
         first = np.array([x[1] for x in spots])
         spot = np.searchsorted(first, head, "right") - 1
         row = np.array([x[0] for x in spots])[spot]
-        rows["dkey"], rows["rank"] = np.array(dkeys, "i8")[row], np.array(ranks, "i8")[row]
+        rows["dkey"], rows["more"], rows["rank"] = dkeys[row, 0], dkeys[row, 1], ranks[row]
         rows["a"], rows["m"], rows["f"] = head - first[spot] + np.array([x[3] for x in spots])[spot], tail - head, 0
         return rows
 
@@ -98,24 +98,24 @@ def range_records(batch: pa.RecordBatch, width: int = WIDTH, k: int = K) -> Iter
 def suffix_array(text: np.ndarray, ends: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """The wanted positions of `text` in the order of their suffixes, each up to the end of its range.
 
-    `ends` are the ranges' ends, rising; an end sorts before all bytes, and equal suffixes by place. A
-    position is small if its byte is under the next, or equal to it; else, or at an end, large. With
-    the wanted ones go the positions up to the next small one or end, which their order hangs on.
+    `ends` are the ranges' ends, rising; an end sorts before all bytes, and equal suffixes by place. A position is small if its
+    suffix is under its successor's: if the first byte that differs from its own is larger. Else, or where its run of equal bytes
+    meets an end, it is large. With the wanted ones go the places behind the runs of large ones, which their order hangs on.
     """
     n = len(text)
-    small = np.zeros(n, bool)
-    small[:-1] = text[:-1] <= text[1:]
-    small[ends - 1] = False
-    stop = small.copy()
-    stop[ends - 1] = True
-    # a large position needs its successor placed: mark onwards until a small position or an end
+    at_end = np.zeros(n + 1, bool)
+    at_end[ends] = True
+    stops = np.flatnonzero(np.append((text[1:] != text[:-1]) | at_end[1:-1], True)) + 1
+    behind = stops[np.searchsorted(stops, np.arange(n), "right")]  # where a position's run of equal bytes ends
+    last = at_end[behind]
+    small = ~last & (text[np.minimum(behind, n - 1)] > text)
     need = np.zeros(n, bool)
     need[wanted] = True
-    more = np.flatnonzero(need & ~stop) + 1
+    more = np.asarray(wanted)
     while len(more):
+        more = np.unique(behind[more[~small[more] & ~last[more]]])
         more = more[~need[more]]
         need[more] = True
-        more = more[~stop[more]] + 1
 
     # stage one: the small suffixes, by comparing bytes
     raw = text.tobytes()
@@ -124,22 +124,18 @@ def suffix_array(text: np.ndarray, ends: np.ndarray, wanted: np.ndarray) -> np.n
     order = sorted(range(len(direct)), key=[raw[a:b] for a, b in zip(direct.tolist(), until.tolist(), strict=True)].__getitem__)
     direct = direct[order]
 
-    # stage two: bucket by bucket; the large suffixes of a byte go before its small ones, in the order
-    # of their successors, which begin with smaller bytes and so already stand
+    # stage two: a scan bucket by bucket; the large suffixes of a byte go before its small ones, shorter runs before longer, in the
+    # order of what lies behind the run, which begins with a smaller byte and so already stands
     rank = np.full(n + 1, -1, np.int64)
     large = np.flatnonzero(need & ~small)
-    at_end = np.zeros(n + 1, bool)
-    at_end[ends] = True
-    lead = text[large]
-    large = large[np.argsort(lead, kind="stable")]
+    large = large[np.argsort(text[large], kind="stable")]
     cuts, small_cuts = np.searchsorted(text[large], np.arange(257)), np.searchsorted(text[direct], np.arange(257))
     out, placed = [], 0
     for c in range(256):
         bucket = large[cuts[c] : cuts[c + 1]]
         if len(bucket):
-            succ = bucket + 1
-            key = np.where(at_end[succ], succ - n - 2, rank[np.minimum(succ, n)])
-            bucket = bucket[np.argsort(key, kind="stable")]
+            to = behind[bucket]
+            bucket = bucket[np.lexsort((np.where(last[bucket], to - n - 2, rank[to]), to - bucket))]
         bucket = np.concatenate([bucket, direct[small_cuts[c] : small_cuts[c + 1]]])
         rank[bucket] = np.arange(placed, placed + len(bucket))
         placed += len(bucket)
@@ -187,10 +183,10 @@ def repeated_starts(pieces: list[bytes], counts: list[int], width: int = WIDTH)
     return [hit[s : s + c] for s, c in zip(starts.tolist(), counts, strict=True)]
 
 
-def _runs(hit: np.ndarray, base: int, dkey: int) -> np.ndarray:
+def _runs(hit: np.ndarray, base: int, dkey: bytes) -> np.ndarray:
     edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
     out = np.zeros(len(edge) // 2, ANSWER)
-    out["dkey"], out["a"], out["m"], out["f"] = dkey, base + edge[::2], edge[1::2] - edge[::2], COVERED
+    (out["dkey"], out["more"]), out["a"], out["m"], out["f"] = np.frombuffer(dkey, "<i8"), base + edge[::2], edge[1::2] - edge[::2], COVERED
     return out
 
 
@@ -201,7 +197,7 @@ def contexts(rows: DataFrame, width: int = WIDTH) -> DataFrame:
         for batch in slices(batches):
             out: list[tuple] = []
             held = 0
-            pack_up = lambda rows: pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["dkey", "name", "a", "m", "piece"])
+            pack_up = lambda rows: pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], t) for i, t in enumerate((pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], ["dkey", "name", "a", "m", "piece"])
             for dkey, raw, packed in zip(batch.column("dkey").to_pylist(), raws(batch.column("text")), batch.column("answers").to_pylist(), strict=True):
                 own = unpack(packed, ANSWER)
                 own = own[(own["f"] & DETAIL) > 0]
@@ -213,7 +209,7 @@ def contexts(rows: DataFrame, width: int = WIDTH) -> DataFrame:
                     out, held = [], 0
             yield pack_up(out)
 
-    return rows.select("dkey", "text", "answers").mapInArrow(work, "dkey long, name long, a int, m int, piece binary")
+    return rows.select("dkey", "text", "answers").mapInArrow(work, "dkey binary, name long, a int, m int, piece binary")
 
 
 def sorted_ranges(found: DataFrame, n: int, width: int = WIDTH) -> DataFrame:
@@ -224,13 +220,13 @@ def sorted_ranges(found: DataFrame, n: int, width: int = WIDTH) -> DataFrame:
         dkey, a, m, pieces = (group.column(x).to_pylist() for x in ("dkey", "a", "m", "piece"))
         out = [(k, _runs(hit, base, k)) for k, base, hit in zip(dkey, a, repeated_starts(pieces, m, width), strict=True)]
         out = [(k, pack(x)) for k, x in out if len(x)]
-        return pa.table([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["dkey", "answers"])
+        return pa.table([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary())], ["dkey", "answers"])
 
     dealt = found.withColumn("part", F.pmod(F.xxhash64("name"), F.lit(parts)))
-    return dealt.groupBy("part").applyInArrow(work, "dkey long, answers binary")
+    return dealt.groupBy("part").applyInArrow(work, "dkey binary, answers binary")
 
 
-def single_windows(found: DataFrame, width: int = WIDTH) -> DataFrame:
+def single_windows(found: DataFrame, parts: int, width: int = WIDTH) -> DataFrame:
     """The same for names with too many ranges: each window by two fingerprints of its own."""
 
     def extract(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -239,28 +235,34 @@ def single_windows(found: DataFrame, width: int = WIDTH) -> DataFrame:
             start = np.arange(m)
             out = np.empty(m, RECORD)
             out["name"], out["ctx"] = Prefix(codes).of(start, start + width), Prefix(codes, 12345).of(start, start + width)
-            out["dkey"], out["rank"], out["a"], out["m"], out["f"] = dkey, 0, a + start, 1, 0
+            out["dkey"], out["more"] = np.frombuffer(dkey, "<i8")
+            out["rank"], out["a"], out["m"], out["f"] = 0, a + start, 1, 0
             yield out
 
-    return decide(found, extract, False)
+    return decide(found, extract, False, parts)
 
 
-def repeated_ranges(rows: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(dkey, answers) of keyed documents: the windows that also start elsewhere."""
-    first, _ = written(decide(rows.select("dkey", "rank", "text"), lambda batch: range_records(batch, width), False), "ranges")
+def repeated_ranges(rows: DataFrame, width: int = WIDTH) -> tuple[DataFrame, list[str]]:
+    """(dkey, answers) of keyed documents: the windows that also start elsewhere; and the paths of the tables it lies in."""
+    parts, paths = parts_of(rows), []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        out, path = written(df, name)
+        paths.append(path)
+        return out
+
+    first = kept(decide(rows.select("dkey", "rank", "text"), lambda batch: range_records(batch, width), False, parts), "ranges")
     # a row of its own text is enough for copies: their windows are all covered
     found, path = written(contexts(rows.select("dkey", "text").join(first, "dkey"), width), "contexts")
-    counts = found.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") > MOST_RANGES).select("name", F.lit(True).alias("hot"))
-    hot, _ = written(counts, "hot")
+    hot = kept(found.groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") > MOST_RANGES).select("name", F.lit(True).alias("hot")), "hot")
     n, out = found.count(), first
     if not hot.isEmpty():
-        many, _ = written(single_windows(found.join(hot, "name").drop("hot"), width), "singles")
-        out, found = out.unionByName(many), found.join(hot, "name", "left_anti")
+        out = out.unionByName(kept(single_windows(found.join(hot, "name").drop("hot"), parts, width), "singles"))
+        found = found.join(hot, "name", "left_anti")
     if n:
-        twice, _ = written(sorted_ranges(found, n, width), "sorted")
-        out = out.unionByName(twice)
+        out = out.unionByName(kept(sorted_ranges(found, n, width), "sorted"))
     remove(rows.sparkSession, path)
-    return out
+    return out, paths
 
 
 def _kept(raw: bytes | None, packed: list[bytes] | None, width: int) -> tuple[np.ndarray, bytes]:
@@ -290,7 +292,11 @@ def dedup_bytes(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", tex
                 got.append((len(gone), len(gone) - len(kept), spans, hashlib.sha256(kept).hexdigest()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array([x[i] for x in got], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string())))], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return joined(rows, repeated_ranges(rows, width)).select("doc_id", "text", "all").mapInArrow(work, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    ranges, paths = repeated_ranges(rows, width)
+    out, _ = written(joined(rows, ranges).select("doc_id", "text", "all").mapInArrow(work, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "kept")
+    for path in paths:
+        remove(docs.sparkSession, path)
+    return out
 
 
 def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -300,13 +306,13 @@ def deduplicated(docs: DataFrame, width: int = WIDTH, id_col: str = "doc_id", te
     """
     rows = keyed(docs, id_col, text_col)
     key, own, cut = (fresh(x, docs.columns) for x in ("dedup_key", "dedup_all", "dedup_text"))
-    ranges = repeated_ranges(rows, width).groupBy("dkey").agg(F.collect_list("answers").alias(own)).withColumnRenamed("dkey", key)
+    ranges = repeated_ranges(rows, width)[0].groupBy("dkey").agg(F.collect_list("answers").alias(own)).withColumnRenamed("dkey", key)
     text, one = F.col(f"`{text_col}`"), F.col(f"`{id_col}`")
 
     @F.arrow_udf("string")
     def left(texts: pa.Array, packed: pa.Array) -> pa.Array:
         return pa.array([None if raw is None else _kept(raw, p, width)[1].decode("utf-8", "ignore") for raw, p in zip(raws(texts), packed.to_pylist(), strict=True)], pa.string())
 
-    out = docs.withColumn(key, F.xxhash64(F.lit(11), one.isNull(), one, text)).join(ranges, key, "left")
+    out = docs.withColumn(key, document_key(one, text)).join(ranges, key, "left")
     out = out.withColumn(cut, F.when(F.col(own).isNull(), text).otherwise(left(text, F.col(own))))
     return out.select(*(F.col(f"`{cut}`").alias(x) if x == text_col else F.col(f"`{x}`") for x in docs.columns))
