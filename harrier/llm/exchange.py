@@ -27,7 +27,7 @@ ANSWER = np.dtype([("dkey", "i8"), ("more", "i8"), ("name", "u8"), ("a", "i4"),
 REPEATED, SEVERAL = 1, 2
 COVERED, DETAIL = 1, 2
 #: Records that a task holds before it settles and sends them, and bytes of text whose records one part has, about.
-BLOCK, PART_BYTES = 500_000, 16 << 20
+BLOCK, PART_BYTES = 300_000, 16 << 20
 LAST = np.iinfo(np.int64).max
 
 

@@ -25,7 +25,7 @@ from .minhash import WordHashes, mixed
 
 WINDOW, ROUNDS = 13, 2
 #: Words that are parsed at once.
-PIECE = 400_000
+PIECE = 200_000
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _BACK = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

@@ -29,7 +29,7 @@ from .minhash import mixed
 from .recompress import Prefix, joined
 
 WIDTH, K = 200, 48
-PIECE = 1 << 19
+PIECE = 1 << 18
 MOST_RANGES = 20_000
 #: Ranges that are compared in one task beside each other, about; those of one anchor stay together.
 RANGES_A_PART = 4000
