@@ -4,7 +4,7 @@ Corners are found at five scales a third of an octave apart, in number by area;
 centroid and 256 binary tests of smoothed brightness, turned by it. A table's key is KEY_BITS of the 256 bits, drawn once;
 images that share a key meet in a bucket, each with the bucket's hub of this round, and pairs with enough shared keys are
 compared on all descriptors: mutual nearest neighbours in Hamming distance, then the similarity transform that most of
-them agree on. Rounds with other hubs go on until one adds no link. Then all pairs of images that share enough keys
+them agree on. Rounds with other hubs go on while they link much. Then all pairs of images that share enough keys
 but no component are compared, so none that the tables bring together is left untried.
 
 Only table entries are shuffled. Descriptors are many times larger, so they aren't stored: they are made again for
@@ -42,6 +42,8 @@ ENTRY = np.dtype([("bits", "u4"), ("nid", "i8")])
 HELD, ENTRIES_A_PART = 1_000_000, 2_000_000
 #: Members of a bucket that one task compares with as many others, and pairs that share a key counted at a time, about.
 BLOCK, PAIRS_A_SLICE = 512, 8_000_000
+#: A round with other hubs follows if this share of the keys shared with hubs gave links.
+LEAST_GAIN = 0.1
 #: Rows of a distance matrix that are made at a time.
 ROWS = 512
 
@@ -325,9 +327,11 @@ def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
     while True:
         own = _labelled(buckets, label, "nid", "label")
         hubs = own.groupBy("key").agg(F.min_by(F.struct("nid", "label"), F.xxhash64("nid", F.lit(turn))).alias("hub"))
-        pairs = own.join(hubs, "key").where("label <> hub.label").withColumn("hub", F.col("hub.nid"))
-        pairs = pairs.groupBy(F.greatest("nid", "hub").alias("x"), F.least("nid", "hub").alias("hub")).agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SHARED).drop("n")
+        met, met_path = written(own.join(hubs, "key").where("label <> hub.label").select(F.greatest("nid", "hub.nid").alias("x"), F.least("nid", "hub.nid").alias("hub")), "met")
+        pairs = met.groupBy("x", "hub").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_SHARED).drop("n")
         pairs = settle(pairs if tried is None else pairs.join(tried, ["x", "hub"], "left_anti"))
+        left = met.count()
+        remove(images.sparkSession, met_path)
         if pairs.isEmpty():
             break
         more = compared(pairs)
@@ -336,6 +340,8 @@ def image_copies(images: DataFrame, id_col: str = "image_id") -> DataFrame:
             break
         links = more if links is None else settle(links.unionByName(more))
         label, turn = components(links), turn + 1
+        if more.count() < LEAST_GAIN * left:  # what is left shares keys by chance; the comparison of all pairs that share enough comes next
+            break
     rest, n_slices, rest_path = residual(buckets, label)
     for k in range(n_slices):
         pairs = residual_pairs(rest, n_slices, k)
