@@ -47,7 +47,7 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences."""
     small_batches(spark)
-    return packing.pack(docs, tokenizer_path())
+    return packing.pack(docs, tokenizer_path(), remembered=72 << 20)  # beside what the stages before have left in a worker
 
 
 STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicates), ("repeated strings", repeated_strings), ("mixed sources", mixed_sources), ("packed", packed)]
