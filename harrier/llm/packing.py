@@ -38,6 +38,8 @@ STRIDE = 16
 MOST_BYTES, IDLE = 220 << 20, 3.0
 #: Bytes that a word takes besides its letters, about.
 WORD_BYTES = 170
+#: New words that are encoded as one text.
+TOGETHER = 128
 ENDS = (".", "!", "?", "。", "！", "？", "…", '."', ".”", ".)", '?"', '!"')
 
 
@@ -78,10 +80,12 @@ class Tokens:
         code, text = self.between
         odd = [i for i, w in enumerate(words) if "<" in w or text in w]  # may hold such a token, or a part of one
         plain = ["" if "<" in w or text in w else w for w in words]
-        ids = np.array(self.tokenizer.encode(text.join(plain), add_special_tokens=False).ids, np.uint32)
-        cut = np.flatnonzero(ids == code)
-        out = np.split(ids, cut)
-        out = [out[0], *(x[1:] for x in out[1:])]
+        out: list[np.ndarray] = []
+        joined = [text.join(plain[k : k + TOGETHER]) for k in range(0, len(plain), TOGETHER)]
+        for found in self.tokenizer.encode_batch_fast(joined, add_special_tokens=False):
+            ids = np.array(found.ids, np.uint32)
+            first, *others = np.split(ids, np.flatnonzero(ids == code))
+            out += [first, *(x[1:] for x in others)]
         for i, x in zip(odd, self.tokenizer.encode_batch([words[i] for i in odd], add_special_tokens=False), strict=True):
             out[i] = np.array(x.ids, np.uint32)
         return out
