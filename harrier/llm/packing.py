@@ -35,7 +35,7 @@ BLOCK = 1 << 20
 #: Without an end of a sentence for so long, any token may end a sequence. On sf0.1, 0.32 % of the tokens are padding; 0.16 % with 8, 0.47 % with 24.
 STRIDE = 16
 #: Bytes of words and their tokens that a worker process remembers, and seconds without a task until it forgets them.
-MOST_BYTES, IDLE = 220 << 20, 3.0
+MOST_BYTES, IDLE = 400 << 20, 3.0
 #: Bytes that a word takes besides its letters, about.
 WORD_BYTES = 170
 #: New words that are encoded as one text.
